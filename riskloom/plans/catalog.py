@@ -1,6 +1,8 @@
 """All registered queries. Importing the modules fills the registry."""
 
-from riskloom.plans import evaluation_queries, item_queries, profile_queries  # noqa: F401
+from riskloom.plans import (  # noqa: F401
+    evaluation_queries, feature_queries, item_queries, profile_queries, service_queries,
+)
 from riskloom.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
