@@ -36,8 +36,13 @@ CHAR_SIMILARITY = Family("char", "char", 3, 5, max_df=None, max_features=None)
 
 
 def _by_key(df: DataFrame, key: str) -> DataFrame:
-    """One shuffle of the raw texts; all counting per document then stays in place."""
-    return df.repartition(key)
+    """One shuffle of the raw texts; all counting per document then stays in place.
+
+    The number of partitions is stated, because a text grows many times when it
+    is cut into n-grams: partitions merged by the size of the texts would be
+    far too large.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def _word_terms(rows: DataFrame, keys: Sequence[str], text: str, low: int, high: int) -> DataFrame:

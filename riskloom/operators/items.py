@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.constants import CARD_PREVIEW_CHARS, ENTITY_ALIASES, UNKNOWN_ENTITY
+from riskloom.functions.rows import compute_once
 from riskloom.functions.text import (
     blank_to_null, char_count, text_or_empty, title_and_fragment, trim_ws, word_count,
 )
@@ -15,15 +16,16 @@ from riskloom.functions.text import (
 Aliases = Mapping[str, Sequence[str]]
 
 
-def _positions(text: Column, aliases: Aliases) -> list[Column]:
-    """Per entity a struct (first position, dictionary rank, name), null if absent."""
-    found = []
-    for rank, (name, spellings) in enumerate(aliases.items()):
-        places = [F.nullif(F.instr(text, s), F.lit(0)) for s in spellings]
-        first = F.least(*places) if len(places) > 1 else places[0]
-        found.append(F.when(first.isNotNull(), F.struct(
-            first.alias("at"), F.lit(rank).alias("rank"), F.lit(name).alias("name"))))
-    return found
+ABSENT = 2**31 - 2
+
+
+def _first_position(text: Column, spellings: Sequence[str]) -> Column:
+    """Zero-based place of the first spelling found, `ABSENT` if there is none.
+
+    The wrap-around of -1 marks absence without searching the text twice.
+    """
+    places = [F.pmod(F.instr(text, s) - 1, F.lit(ABSENT + 1)) for s in spellings]
+    return F.least(*places) if len(places) > 1 else places[0]
 
 
 def match_entity(df: DataFrame, aliases: Aliases = ENTITY_ALIASES, out: str = "entity_match") -> DataFrame:
@@ -32,8 +34,11 @@ def match_entity(df: DataFrame, aliases: Aliases = ENTITY_ALIASES, out: str = "e
     One expression over the row: no join, no shuffle, whatever the table size.
     """
     low = df.withColumn("_low", F.lower(title_and_fragment()))
-    best = F.array_min(F.array_compact(F.array(*_positions(F.col("_low"), aliases))))
-    return low.withColumn(out, best["name"]).drop("_low")
+    found = low.withColumn("_at", F.array(*[_first_position(F.col("_low"), s) for s in aliases.values()]))
+    first = F.array_min("_at")
+    names = F.array(*[F.lit(n) for n in aliases])
+    best = F.when(first < ABSENT, F.element_at(names, F.array_position("_at", first).cast("int")))
+    return compute_once(found, **{out: best}).drop("_low", "_at")
 
 
 def resolve_entity(

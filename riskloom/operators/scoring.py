@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.constants import (
     ALERT_THRESHOLD, BASE_SCORE, KEYWORD_MODEL, MAX_SCORE, NO_RISK, RISK_TERM_WEIGHTS,
 )
+from riskloom.functions.rows import compute_once
 from riskloom.functions.text import model_text
 from riskloom.operators.items import resolve_entity
 
@@ -33,7 +34,8 @@ def keyword_risk_score(
     total = F.lit(_units(base))
     for term, weight in weights.items():
         total = total + F.contains(F.col("_low"), F.lit(term)).cast("int") * F.lit(_units(weight))
-    return low.withColumn(out, F.least(total, F.lit(_units(top))) / F.lit(float(UNIT))).drop("_low")
+    score = F.least(total, F.lit(_units(top))) / F.lit(float(UNIT))
+    return compute_once(low, **{out: score}).drop("_low")
 
 
 def apply_threshold(
@@ -88,7 +90,7 @@ def find_risk_keywords(df: DataFrame, terms: Sequence[str], text: Column | None
     """Dictionary terms found in the text, in dictionary order, joined by `;`."""
     low = df.withColumn("_low", F.lower(model_text() if text is None else text))
     hits = [F.when(F.contains(F.col("_low"), F.lit(t)), F.lit(t)) for t in terms]
-    return low.withColumn(out, F.concat_ws(";", *hits)).drop("_low")
+    return compute_once(low, **{out: F.concat_ws(";", *hits)}).drop("_low")
 
 
 def classify_risk_type(

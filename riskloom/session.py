@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -47,3 +47,17 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table once to the shared folder and read it back.
+
+    For a result that several later steps read: it is computed one time, the
+    plan after it starts from files, and losing executors does not undo it.
+    (``DataFrame.checkpoint`` would run the plan twice, once to count and once
+    to write.)
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

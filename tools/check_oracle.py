@@ -42,9 +42,10 @@ def norm(v):
     return repr(v)
 
 
-def compare(df, con, sql) -> str:
+def compare(df, con, sql, clock) -> str:
     names = sorted(df.columns)
     got = [tuple(r[n] for n in names) for r in df.collect()]
+    clock.append(time.time())
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
     types = {d[0]: str(d[1]) for d in cur.description}
@@ -79,15 +80,15 @@ def main() -> int:
     for name, q in REGISTRY.items():
         if args.names and name not in args.names and not any(q.build.__module__.endswith(n) for n in args.names):
             continue
-        start = time.time()
+        start, clock = time.time(), []
         try:
             df = as_callable(q)(spark, sf_dir)
-            verdict = compare(df, con, q.sql) if q.sql else f"rows only: {len(df.collect())}"
+            verdict = compare(df, con, q.sql, clock) if q.sql else f"rows only: {len(df.collect())}"
         except Exception as exc:  # report and go on with the next query
             verdict = f"FAILED {type(exc).__name__}: {str(exc)[:600]}"
         good = verdict.startswith(("ok", "rows only"))
         failed += not good
-        print(f"{'  ' if good else '!!'} {name:34s} {time.time() - start:6.1f}s {verdict}", flush=True)
+        print(f"{'  ' if good else '!!'} {name:34s} {(clock or [time.time()])[0] - start:6.1f}s +{time.time() - (clock or [time.time()])[0]:5.1f}s {verdict}", flush=True)
     print("failed:", failed)
     return 1 if failed else 0
 
