@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,6 +28,7 @@ from riskloom.operators.teacher import expand_soft_rows, with_soft_labels
 from riskloom.sources.tables import LinearModel
 
 MAX_ITER = 100
+PARALLEL_FITS = 8  # fits of a grid that are submitted at the same time
 
 
 def _tokens(family: Family, text: str):
@@ -103,10 +105,11 @@ def fit_logreg(features: DataFrame, C: float = 1.0, balanced: bool = False, labe
     return fit_weighted(weighted, C, max_iter=max_iter)
 
 
-def fit_logreg_soft(features: DataFrame, C: float = 1.0, soft: str = "soft_y", max_iter: int = MAX_ITER) -> LogisticRegressionModel:
+def fit_logreg_soft(features: DataFrame, C: float = 1.0, soft: str = "soft_y", max_iter: int = MAX_ITER,
+                    total: float | None = None) -> LogisticRegressionModel:
     """Soft labels: every row counts as positive with weight y and as negative with 1-y."""
     rows = expand_soft_rows(features, soft).withColumn("label", F.col("label").cast("double"))
-    return fit_weighted(rows, C, max_iter=max_iter)
+    return fit_weighted(rows, C, max_iter=max_iter, total=total)
 
 
 def with_scores(model: LogisticRegressionModel, features: DataFrame, out: str = "score") -> DataFrame:
@@ -136,6 +139,13 @@ def _held(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _fit_all(fits: Sequence[Callable], parallel: int = PARALLEL_FITS) -> list:
+    """Run independent fits side by side; each is a chain of small Spark jobs."""
+    spark = SparkSession.active()
+    with ThreadPool(min(parallel, len(fits))) as pool:
+        return pool.map(lambda fit: inheritable_thread_target(spark)(fit)(), fits)
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -162,16 +172,16 @@ def grid_alpha_c(
     vec = fit_vectoriser(train, text, families=families)
     x_train = _held(vec.transform(train, text).select("alert_flag", "teacher_label", "teacher_confidence", "features"))
     x_valid = _held(vec.transform(valid, text).select("sample_id", "alert_flag", "features"))
-    models, scored = {}, []
-    for alpha in alphas:
-        rows = with_soft_labels(x_train, alpha).select("soft_y", "features")
-        for c in cs:
-            model = fit_logreg_soft(rows, c, max_iter=max_iter)
-            models[(alpha, c)] = model
-            scored.append(with_scores(model, x_valid).select(
-                F.lit(float(alpha)).alias("alpha"), F.lit(float(c)).alias("C"), "sample_id", "alert_flag", "score"))
+    params = [(float(a), float(c)) for a in alphas for c in cs]
+    soft = {a: with_soft_labels(x_train, a).select("soft_y", "features") for a in alphas}
+    totals = x_train.count()  # the two weights of a row add up to one
+    fits = [lambda a=a, c=c: fit_logreg_soft(soft[a], c, max_iter=max_iter, total=totals) for a, c in params]
+    models = dict(zip(params, _fit_all(fits)))
+    scored = [
+        with_scores(m, x_valid).select(F.lit(a).alias("alpha"), F.lit(c).alias("C"), "sample_id", "alert_flag", "score")
+        for (a, c), m in models.items()]
     grid = evaluate_scored(_union(scored), ["alpha", "C"])
-    return grid, lambda alpha, c: models[(alpha, c)], vec
+    return grid, lambda alpha, c: models[(float(alpha), float(c))], vec
 
 
 def best_of_grid(grid: DataFrame) -> DataFrame:
@@ -188,18 +198,21 @@ def grid_search_cv(
     given by the hash of the key, so that no class has to be put in order.
     """
     folded = train.withColumn("fold", hash_bucket(key, folds))
-    scored = []
+    params = [(float(c), mode) for mode in weights for c in cs]
+    fits, parts = [], []
     for fold in range(folds):
         fit_on, test_on = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
         vec = fit_vectoriser(fit_on, text, key, families)
         x_fit = _held(vec.transform(fit_on, text).select("alert_flag", "features"))
         x_test = _held(vec.transform(test_on, text).select("alert_flag", "features"))
-        for mode in weights:
-            for c in cs:
-                model = fit_logreg(x_fit, c, mode == "balanced", max_iter=max_iter)
-                scored.append(with_scores(model, x_test).select(
-                    F.lit(float(c)).alias("C"), F.lit(mode).alias("class_weight"), F.lit(fold).alias("fold"), "alert_flag",
-                    (F.col("score") >= ALERT_THRESHOLD).cast("int").alias("pred")))
+        for c, mode in params:
+            fits.append(lambda x=x_fit, c=c, mode=mode: fit_logreg(x, c, mode == "balanced", max_iter=max_iter))
+            parts.append((fold, c, mode, x_test))
+    scored = [
+        with_scores(model, x).select(
+            F.lit(c).alias("C"), F.lit(mode).alias("class_weight"), F.lit(fold).alias("fold"), "alert_flag",
+            (F.col("score") >= ALERT_THRESHOLD).cast("int").alias("pred"))
+        for model, (fold, c, mode, x) in zip(_fit_all(fits), parts)]
     per_fold = binary_metrics(_union(scored), "alert_flag", "pred", ["C", "class_weight", "fold"])
     return per_fold.groupBy("C", "class_weight").agg(
         F.avg("f1").alias("mean_f1"), F.avg("precision").alias("mean_precision"), F.avg("recall").alias("mean_recall"),
