@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -25,6 +25,7 @@ from riskloom.functions.text import char_grams, hash_bucket, pairs_of, visible_w
 from riskloom.operators.evaluation import best_grid_row, binary_metrics, ranking_metrics
 from riskloom.operators.features import CHAR, WORD, Family, doc_terms, document_count, fit_vocabulary
 from riskloom.operators.teacher import expand_soft_rows, with_soft_labels
+from riskloom.session import materialize
 from riskloom.sources.tables import LinearModel
 
 MAX_ITER = 100
@@ -134,9 +135,13 @@ def to_linear_model(spark: SparkSession, model: LogisticRegressionModel, vec: Ve
 # --- grids ----------------------------------------------------------------------
 
 
-def _held(df: DataFrame) -> DataFrame:
-    """Keep a feature frame for the many fits of a grid; recomputed if lost."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def hold_features(df: DataFrame) -> DataFrame:
+    """Write a feature frame once for the many passes of the fits.
+
+    Besides saving the feature work, this keeps the plan of each gradient pass
+    down to a file scan: otherwise every pass ships the vocabularies again.
+    """
+    return materialize(df, "features")
 
 
 def _fit_all(fits: Sequence[Callable], parallel: int = PARALLEL_FITS) -> list:
@@ -170,8 +175,8 @@ def grid_alpha_c(
     models by parameters, and the vectoriser.
     """
     vec = fit_vectoriser(train, text, families=families)
-    x_train = _held(vec.transform(train, text).select("alert_flag", "teacher_label", "teacher_confidence", "features"))
-    x_valid = _held(vec.transform(valid, text).select("sample_id", "alert_flag", "features"))
+    x_train = hold_features(vec.transform(train, text).select("alert_flag", "teacher_label", "teacher_confidence", "features"))
+    x_valid = hold_features(vec.transform(valid, text).select("sample_id", "alert_flag", "features"))
     params = [(float(a), float(c)) for a in alphas for c in cs]
     soft = {a: with_soft_labels(x_train, a).select("soft_y", "features") for a in alphas}
     totals = x_train.count()  # the two weights of a row add up to one
@@ -203,8 +208,8 @@ def grid_search_cv(
     for fold in range(folds):
         fit_on, test_on = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
         vec = fit_vectoriser(fit_on, text, key, families)
-        x_fit = _held(vec.transform(fit_on, text).select("alert_flag", "features"))
-        x_test = _held(vec.transform(test_on, text).select("alert_flag", "features"))
+        x_fit = hold_features(vec.transform(fit_on, text).select("alert_flag", "features"))
+        x_test = hold_features(vec.transform(test_on, text).select("alert_flag", "features"))
         for c, mode in params:
             fits.append(lambda x=x_fit, c=c, mode=mode: fit_logreg(x, c, mode == "balanced", max_iter=max_iter))
             parts.append((fold, c, mode, x_test))
