@@ -28,7 +28,7 @@ from riskloom.operators.teacher import expand_soft_rows, with_soft_labels
 from riskloom.session import materialize
 from riskloom.sources.tables import LinearModel
 
-MAX_ITER = 100
+MAX_ITER = 40
 PARALLEL_FITS = 8  # fits of a grid that are submitted at the same time
 
 
