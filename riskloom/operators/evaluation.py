@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.constants import REVIEW_GRID, SWEEP_GRID
 from riskloom.functions.numbers import confidence, custom_rank, is_close, ratio_or_zero
 from riskloom.operators.running import running_sums
+from riskloom.session import materialize
 
 COUNTS = ["tp", "fp", "fn", "tn"]
 EXACT = "decimal(38,0)"
@@ -48,6 +49,8 @@ def score_steps(df: DataFrame, label: str = "alert_flag", score: str = "student_
     """Per distinct score: positives and negatives there and from the top down to it."""
     steps = df.groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    # Read several times below (cut points, bucket totals, rows): the scores behind it are computed once.
+    steps = materialize(steps, "score-steps")
     return running_sums(steps, ["pos", "neg"], score, by, descending=True)
 
 
@@ -137,7 +140,8 @@ def threshold_sweep(
     quality = ranking_metrics(df, label, score, by)
     if by:
         return out.join(quality, list(by))
-    return out.withColumns({m: quality.select(m).scalar() for m in ("roc_auc", "pr_auc")})
+    both = quality.select(F.struct("roc_auc", "pr_auc")).scalar()
+    return out.withColumn("_q", both).select("*", "_q.roc_auc", "_q.pr_auc").drop("_q")
 
 
 def review_zone(

@@ -16,6 +16,7 @@ from riskloom.constants import UNKNOWN_ENTITY
 from riskloom.functions.text import hash_bucket, title_and_fragment
 from riskloom.operators.items import resolve_entity
 from riskloom.operators.scoring import find_risk_keywords, predictions, score_items
+from riskloom.session import spread
 
 # Dictionaries that fit the generated texts.
 ALIASES = {
@@ -49,7 +50,7 @@ class Views:
     @cached_property
     def items(self) -> DataFrame:
         day = F.date_add(F.lit("2002-01-01").cast("date"), (F.col("doc_id") % 6800).cast("int"))
-        return self.table("documents").select(
+        return spread(self.table("documents"), "doc_id").select(
             F.col("doc_id").alias("id"), F.col("source").alias("batch_id"), (F.col("doc_id") % 10).alias("user_id"),
             "source", F.lit(None).cast("string").alias("url"), F.date_format(day, "yyyy-MM-dd").alias("published_at"),
             F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("text_fragment"),
@@ -175,5 +176,4 @@ class Views:
         return self.table("labels").select(
             i.alias("sample_id"), y.alias("alert_flag"), zero.alias("zero_shot_answer"), few.alias("few_shot_answer"))
 
-
 UNKNOWN = UNKNOWN_ENTITY
