@@ -14,7 +14,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
@@ -77,15 +77,29 @@ def fit_vectoriser(df: DataFrame, text: str = "model_text", key: str = "sample_i
     return Vectoriser(families, terms, idf)
 
 
+def _turn_half(df: DataFrame, label: str) -> DataFrame:
+    """About half of the rows with opposite features and opposite label.
+
+    The logistic loss of (x, y) and of (-x, 1-y) is the same, so the optimum
+    does not move, whichever rows are turned. But the constant feature now
+    varies: the optimiser sets the coefficient of a column without variance to
+    zero, and the intercept would be lost.
+    """
+    odd = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2)) == 1
+    signed = df.withColumn("_sign", F.when(odd, -1.0).otherwise(1.0))
+    turned = Interaction(inputCols=["_sign", "features"], outputCol="_signed").transform(signed)
+    return turned.withColumn("_label", F.when(F.col("_sign") < 0, 1 - F.col(label)).otherwise(F.col(label)))
+
+
 def fit_weighted(df: DataFrame, C: float, label: str = "label", weight: str = "weight", max_iter: int = MAX_ITER,
-                 total: float | None = None, family: str = "binomial") -> LogisticRegressionModel:
-    """L2 logistic regression that minimises |w|²/2 + C·Σ weight·loss, intercept included."""
+                 total: float | None = None) -> LogisticRegressionModel:
+    """Binary L2 logistic regression that minimises |w|²/2 + C·Σ weight·loss, intercept included."""
     if total is None:
         total = df.agg(F.sum(weight)).first()[0]
     lr = LogisticRegression(
-        featuresCol="features", labelCol=label, weightCol=weight, regParam=1.0 / (C * total), elasticNetParam=0.0,
-        standardization=False, fitIntercept=False, maxIter=max_iter, tol=1e-6, family=family)
-    return lr.fit(df)
+        featuresCol="_signed", labelCol="_label", weightCol=weight, regParam=1.0 / (C * total), elasticNetParam=0.0,
+        standardization=False, fitIntercept=False, maxIter=max_iter, tol=1e-6, family="binomial")
+    return lr.fit(_turn_half(df, label)).setFeaturesCol("features")
 
 
 def class_weights(df: DataFrame, label: str = "alert_flag", balanced: bool = False) -> DataFrame:
@@ -234,8 +248,9 @@ def fit_risk_type(features: DataFrame, label: str = "risk_type_4cls", C: float =
     """Multinomial model of the risk type: (model, class names in label order)."""
     names = sorted(r[0] for r in features.select(label).distinct().collect())
     index = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(label)) - 1
-    rows = features.select("features", index.cast("double").alias("label"), F.lit(1.0).alias("weight"))
-    return fit_weighted(rows, C, family="multinomial", max_iter=max_iter), names
+    rows = features.select("features", index.cast("double").alias("label"))
+    lr = LogisticRegression(regParam=1.0 / (C * rows.count()), standardization=False, maxIter=max_iter, family="multinomial")
+    return lr.fit(rows), names
 
 
 def predict_risk_type(model: LogisticRegressionModel, names: Sequence[str], features: DataFrame, out: str = "risk_type_pred") -> DataFrame:
