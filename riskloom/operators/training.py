@@ -14,7 +14,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction, Normalizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +39,15 @@ def _tokens(family: Family, text: str):
     return F.flatten(F.transform(visible_words(text), lambda w: char_grams(w, family.low, family.high)))
 
 
+def unnamed(df: DataFrame, column: str) -> DataFrame:
+    """Drop the per-feature names Spark ML keeps in the column metadata.
+
+    With tens of thousands of features they make up most of the plan, which
+    every gradient pass would ship to every task.
+    """
+    return df.withColumn(column, F.col(column).alias(column, metadata={}))
+
+
 @dataclass
 class Vectoriser:
     """Fitted vocabularies of one or more families."""
@@ -62,7 +71,8 @@ class Vectoriser:
             out = out.drop(tok, tf, raw)
             parts.append(unit)
         out = out.withColumn("_one", F.lit(1.0))
-        return VectorAssembler(inputCols=[*parts, "_one"], outputCol="features").transform(out).drop(*parts, "_one")
+        joined = VectorAssembler(inputCols=[*parts, "_one"], outputCol="features").transform(out).drop(*parts, "_one")
+        return unnamed(joined, "features")
 
 
 def fit_vectoriser(df: DataFrame, text: str = "model_text", key: str = "sample_id",
@@ -86,9 +96,13 @@ def _turn_half(df: DataFrame, label: str) -> DataFrame:
     zero, and the intercept would be lost.
     """
     odd = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2)) == 1
-    signed = df.withColumn("_sign", F.when(odd, -1.0).otherwise(1.0))
-    turned = Interaction(inputCols=["_sign", "features"], outputCol="_signed").transform(signed)
-    return turned.withColumn("_label", F.when(F.col("_sign") < 0, 1 - F.col(label)).otherwise(F.col(label)))
+    size = df.select("features").first()[0].size
+    negate = ElementwiseProduct(scalingVec=Vectors.dense([-1.0] * size), inputCol="features", outputCol="_negated")
+    both = unnamed(negate.transform(df.withColumn("_odd", odd)), "_negated")
+    return both.withColumns({
+        "_signed": F.when(F.col("_odd"), F.col("_negated")).otherwise(F.col("features")),
+        "_label": F.when(F.col("_odd"), 1 - F.col(label)).otherwise(F.col(label)),
+    })
 
 
 def fit_weighted(df: DataFrame, C: float, label: str = "label", weight: str = "weight", max_iter: int = MAX_ITER,
