@@ -90,9 +90,8 @@ def _with_matches(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(rows, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, per_cent: int) -> DataFrame:
-    """The pairs whose full shingle sets reach the similarity. Only texts that are in a pair travel."""
-    needed = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
+def _sets_of(ids: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(id, set) for the ids of a one-column table; other texts do not travel."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(F.col(text)).alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,9 +99,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: in
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), words)], pa.binary())], names=["id", "set"])
 
-    held = rows.join(needed, F.col("doc_id") == F.col("_id"), "left_semi").mapInArrow(sets, "id long, set binary")
-    held = materialize(held.dropDuplicates(["id"]), "shingle-sets")
+    held = rows.join(ids.toDF("_id"), F.col("doc_id") == F.col("_id"), "left_semi").mapInArrow(sets, "id long, set binary")
+    return materialize(held.dropDuplicates(["id"]), "shingle-sets")
 
+
+def _confirmed(pairs: DataFrame, held: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs whose full shingle sets reach the similarity."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "left"):
             keep = []
@@ -117,6 +119,39 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: in
     return both.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
 
 
+def _crossing_pairs(suspects: DataFrame, held: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs (a, b) of suspects (rep, n, of) of different groups `of` that can reach the similarity.
+
+    A suspect's shingles are ordered by the number of groups that share them. Linked sets share one of the first
+    n - 0.8 n + 1 (of n), and from the first one they share on, what is left of both must suffice. A passage that many
+    suspects share stands at the end of that order, so it forms no pairs unless it is nearly the whole of both texts.
+    """
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "set"):
+            sets = [np.frombuffer(s, np.int64) for s in batch.column(3).to_pylist()]
+            size = [len(s) for s in sets]
+            columns = [pa.array(np.repeat(batch.column(i).to_numpy(), size)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(sets))], names=["rep", "n", "of", "shingle"])
+
+    own = suspects.join(held, F.col("rep") == F.col("id")).select("rep", "n", "of", "set")
+    terms = materialize(own.mapInArrow(spread, "rep long, n long, of long, shingle long"), "terms")
+    sharers = terms.groupBy("shingle", "of").agg(F.count(F.lit(1)).alias("k")).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("sharers")).where("sharers > 1")
+    shared = terms.join(materialize(sharers, "sharers"), "shingle")
+    shared = shared.withColumn("at", F.row_number().over(Window.partitionBy("rep").orderBy("sharers", "shingle"))).withColumn(
+        "all", F.count(F.lit(1)).over(Window.partitionBy("rep")))
+    place = F.col("n") - F.col("all") + F.col("at") - 1
+    first = shared.withColumn("place", place).where(
+        (F.col("all") * 100 >= F.col("n") * per_cent) & (F.col("place") * 100 <= F.col("n") * (100 - per_cent)))
+    first = materialize(first.select("shingle", "rep", "n", "of", "place"), "prefix")
+    left = first.select("shingle", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"), F.col("place").alias("pa"))
+    right = first.select("shingle", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"), F.col("place").alias("pb"))
+    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    enough = most * (100 + per_cent) >= (F.col("na") + F.col("nb")) * per_cent
+    met = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("a") < F.col("b")) & (F.col("oa") != F.col("ob")) & enough)
+    return met.select("a", "b").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component), the smallest node each node can reach.
 
@@ -154,10 +189,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     1. Documents of equal shingle set become one class. Every class is posted under each of its coordinate values.
     2. Each class is compared with the least class of every list it is in. That is one pair per posting, however long
        the list, and joins dense groups of copies without listing their pairs.
-    3. Lists that still hold several groups are joined with themselves, but only for pairs of different groups, and by
-       prefix: of a class's coordinates, ordered by how many groups share them, the `matches` - 1 most common are
-       skipped, since a pair that agrees in `matches` of them must meet in an earlier one. Common passages, which fill
-       the longest lists, are skipped this way. Every pair of different groups that can reach the threshold is formed.
+    3. Lists that still hold several groups are counted. Only a class that is in `matches` of them can agree with a class
+       of another group in so many coordinates; these few are paired by the rarest of their shingles, with the lists
+       that common passages fill skipped (`_crossing_pairs`). Every pair of different groups that can reach the
+       similarity is formed.
     4. Pairs over the match threshold are confirmed on their full sets; links make components.
 
     Null text counts as empty. A text without words is linked with nothing and is its own component; so is a row with a
@@ -180,7 +215,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     sizes = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"))
     stars = materialize(stars, "stars").join(sizes, "a").where(_sizes_allow(F.col("n"), F.col("na"), per_cent)).select("a", "b")
     first = materialize(_with_matches(stars, reps, matches), "candidates")
-    links = materialize(_confirmed(first, docs, key, text, words, per_cent), "links")
+    ends = first.select("a").union(first.select("b")).distinct()
+    links = materialize(_confirmed(first, _sets_of(ends, docs, key, text, words), per_cent), "links")
     groups = materialize(components(links), "groups")
 
     labelled = shared.select("coordinate", "rep", "n").join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -188,17 +224,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     mixed = labelled.groupBy("coordinate", "of").agg(F.count(F.lit(1)).alias("k")).groupBy("coordinate").agg(
         F.count(F.lit(1)).alias("sharers")).where("sharers > 1")
     crossing = labelled.join(materialize(mixed, "mixed"), "coordinate")
-    order = Window.partitionBy("rep").orderBy("sharers", "coordinate")
-    prefix = crossing.withColumn("at", F.row_number().over(order)).withColumn(
-        "all", F.count(F.lit(1)).over(Window.partitionBy("rep"))).where(F.col("at") <= F.col("all") - (matches - 1))
-    prefix = materialize(prefix.select("coordinate", "rep", "n", "of"), "prefix")
-    left = prefix.select("coordinate", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"))
-    right = prefix.select("coordinate", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"))
-    met = left.join(right, "coordinate").where(
-        (F.col("a") < F.col("b")) & (F.col("oa") != F.col("ob")) & _sizes_allow(F.col("na"), F.col("nb"), per_cent))
-    met = materialize(met.select("a", "b").distinct(), "met")
+    suspects = crossing.groupBy("rep", "n", "of").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= matches)
+    suspects = materialize(suspects.select("rep", "n", "of"), "suspects")
+    held = _sets_of(suspects.select("rep"), docs, key, text, words)
+    met = materialize(_crossing_pairs(suspects, held, per_cent), "met")
     second = materialize(_with_matches(met, reps, matches), "candidates")
-    more = _confirmed(second, docs, key, text, words, per_cent)
+    more = _confirmed(second, held, per_cent)
     links = materialize(links.unionByName(more), "links")
     groups = components(links)
 
