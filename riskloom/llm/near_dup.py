@@ -90,17 +90,35 @@ def _with_matches(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(rows, "a long, b long")
 
 
+#: Bits of the filter that picks texts by id: its size is fixed, with more ids it only lets more texts through.
+FILTER_BITS = 1 << 24
+
+
 def _sets_of(ids: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(id, set) for the ids of a one-column table; other texts do not travel."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(F.col(text)).alias("text"))
+    """(id, set) for the ids of a one-column table, and for a few others.
+
+    Texts are not shuffled for it: a bitmap of hashed ids, of fixed size, goes to the tasks that scan them.
+    """
+    bit = F.pmod(F.xxhash64(ids.columns[0]), F.lit(FILTER_BITS))
+    parts = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
+    for r in parts:
+        bits[(r["part"] - 1) * 4096:r["part"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    # buckets count from 1; a bucket number tells the same position for a bit wherever it is asked
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(F.col(text)).alias("text")).where("doc_id is not null")
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    rows = rows.withColumn("spot", (F.bitmap_bucket_number(spot) - 1) * 32768 + F.bitmap_bit_position(spot))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), words)], pa.binary())], names=["id", "set"])
+            spots = batch.column(2).to_numpy()
+            wanted = batch.filter(pa.array((bits[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1 == 1))
+            if wanted.num_rows:
+                found = [s.tobytes() for s in shingle_sets(wanted.column(1), words)]
+                yield pa.RecordBatch.from_arrays([wanted.column(0), pa.array(found, pa.binary())], names=["id", "set"])
 
-    held = rows.join(ids.toDF("_id"), F.col("doc_id") == F.col("_id"), "left_semi").mapInArrow(sets, "id long, set binary")
-    return materialize(held.dropDuplicates(["id"]), "shingle-sets")
+    return materialize(rows.mapInArrow(sets, "id long, set binary"), "shingle-sets")
 
 
 def _confirmed(pairs: DataFrame, held: DataFrame, per_cent: int) -> DataFrame:
@@ -133,7 +151,7 @@ def _crossing_pairs(suspects: DataFrame, held: DataFrame, per_cent: int) -> Data
             columns = [pa.array(np.repeat(batch.column(i).to_numpy(), size)) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(sets))], names=["rep", "n", "of", "shingle"])
 
-    own = suspects.join(held, F.col("rep") == F.col("id")).select("rep", "n", "of", "set")
+    own = suspects.join(held, F.col("rep") == F.col("id")).select("rep", "n", "of", "set").dropDuplicates(["rep"])
     terms = materialize(own.mapInArrow(spread, "rep long, n long, of long, shingle long"), "terms")
     sharers = terms.groupBy("shingle", "of").agg(F.count(F.lit(1)).alias("k")).groupBy("shingle").agg(
         F.count(F.lit(1)).alias("sharers")).where("sharers > 1")
