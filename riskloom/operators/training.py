@@ -1,36 +1,30 @@
-"""Training of linear text models with Spark ML.
+"""Training of linear text models.
 
 The vocabulary is fitted as a table (see `features`) and at most its limit of
 terms comes to the driver, as any Spark ML vocabulary does. Rows stay on the
 executors: term counts, idf weights and unit length are column transformers,
-the optimiser sums gradients over the partitions.
+the optimiser (`solver`) sums gradients over the partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from riskloom.constants import ALERT_THRESHOLD, ALPHA_GRID, C_GRID, LINEAR_MODEL
-from riskloom.functions.text import char_grams, hash_bucket, pairs_of, visible_words, words
+from riskloom.functions.text import char_grams, pairs_of, visible_words, words
 from riskloom.operators.evaluation import best_grid_row, binary_metrics, ranking_metrics
 from riskloom.operators.features import CHAR, WORD, Family, doc_terms, document_count, fit_vocabulary
-from riskloom.operators.teacher import expand_soft_rows, with_soft_labels
-from riskloom.session import materialize
+from riskloom.operators.solver import LinearFit, fit_binary, fit_classes, hold_features, with_margins
+from riskloom.operators.teacher import with_soft_labels
 from riskloom.sources.tables import LinearModel
 
-MAX_ITER = 40
-PARALLEL_FITS = 8  # fits of a grid that are submitted at the same time
-
 
 def _tokens(family: Family, text: str):
     if family.kind == "word":
@@ -87,35 +81,6 @@ def fit_vectoriser(df: DataFrame, text: str = "model_text", key: str = "sample_i
     return Vectoriser(families, terms, idf)
 
 
-def _turn_half(df: DataFrame, label: str) -> DataFrame:
-    """About half of the rows with opposite features and opposite label.
-
-    The logistic loss of (x, y) and of (-x, 1-y) is the same, so the optimum
-    does not move, whichever rows are turned. But the constant feature now
-    varies: the optimiser sets the coefficient of a column without variance to
-    zero, and the intercept would be lost.
-    """
-    odd = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2)) == 1
-    size = df.select("features").first()[0].size
-    negate = ElementwiseProduct(scalingVec=Vectors.dense([-1.0] * size), inputCol="features", outputCol="_negated")
-    both = unnamed(negate.transform(df.withColumn("_odd", odd)), "_negated")
-    return both.withColumns({
-        "_signed": F.when(F.col("_odd"), F.col("_negated")).otherwise(F.col("features")),
-        "_label": F.when(F.col("_odd"), 1 - F.col(label)).otherwise(F.col(label)),
-    })
-
-
-def fit_weighted(df: DataFrame, C: float, label: str = "label", weight: str = "weight", max_iter: int = MAX_ITER,
-                 total: float | None = None) -> LogisticRegressionModel:
-    """Binary L2 logistic regression that minimises |w|²/2 + C·Σ weight·loss, intercept included."""
-    if total is None:
-        total = df.agg(F.sum(weight)).first()[0]
-    lr = LogisticRegression(
-        featuresCol="_signed", labelCol="_label", weightCol=weight, regParam=1.0 / (C * total), elasticNetParam=0.0,
-        standardization=False, fitIntercept=False, maxIter=max_iter, tol=1e-6, family="binomial")
-    return lr.fit(_turn_half(df, label)).setFeaturesCol("features")
-
-
 def class_weights(df: DataFrame, label: str = "alert_flag", balanced: bool = False) -> DataFrame:
     """Weight 1, or n / (classes · n of the class) when balanced."""
     if not balanced:
@@ -128,28 +93,31 @@ def class_weights(df: DataFrame, label: str = "alert_flag", balanced: bool = Fal
     return df.withColumn("weight", chain)
 
 
-def fit_logreg(features: DataFrame, C: float = 1.0, balanced: bool = False, label: str = "alert_flag",
-               max_iter: int = MAX_ITER) -> LogisticRegressionModel:
-    weighted = class_weights(features, label, balanced).withColumn("label", F.col(label).cast("double"))
-    return fit_weighted(weighted, C, max_iter=max_iter)
+def _sides(label, weight=1.0):
+    """What a row counts as positive and as negative."""
+    return F.col(label) * weight, (1 - F.col(label)) * weight
+
+
+def fit_logreg(features: DataFrame, C: float = 1.0, balanced: bool = False, label: str = "alert_flag") -> LinearFit:
+    """Binary L2 logistic regression that minimises |w|²/2 + C·Σ weight·loss, intercept included."""
+    weighted = class_weights(features, label, balanced)
+    return fit_binary(weighted, [_sides(label, F.col("weight"))], [C])[0]
 
 
-def fit_logreg_soft(features: DataFrame, C: float = 1.0, soft: str = "soft_y", max_iter: int = MAX_ITER,
-                    total: float | None = None) -> LogisticRegressionModel:
+def fit_logreg_soft(features: DataFrame, C: float = 1.0, soft: str = "soft_y") -> LinearFit:
     """Soft labels: every row counts as positive with weight y and as negative with 1-y."""
-    rows = expand_soft_rows(features, soft).withColumn("label", F.col("label").cast("double"))
-    return fit_weighted(rows, C, max_iter=max_iter, total=total)
+    return fit_binary(features, [_sides(soft)], [C])[0]
 
 
-def with_scores(model: LogisticRegressionModel, features: DataFrame, out: str = "score") -> DataFrame:
-    scored = model.transform(features).withColumn(out, vector_to_array("probability")[1])
-    return scored.drop("rawPrediction", "probability", "prediction")
+def with_scores(model: LinearFit, features: DataFrame, out: str = "score") -> DataFrame:
+    scored = with_margins(model, features)
+    return scored.withColumn(out, 1 / (1 + F.exp(-F.element_at("margins", 1)))).drop("margins")
 
 
-def to_linear_model(spark: SparkSession, model: LogisticRegressionModel, vec: Vectoriser, name: str = LINEAR_MODEL,
+def to_linear_model(spark: SparkSession, model: LinearFit, vec: Vectoriser, name: str = LINEAR_MODEL,
                     threshold: float = ALERT_THRESHOLD, meta: dict | None = None) -> LinearModel:
     """The fitted model as a weights table, for `score_linear` and for storing."""
-    coef = model.coefficients.toArray()
+    coef = model.coefficients
     rows, at = [], 0
     for f in vec.families:
         for term, idf in zip(vec.terms[f.name], vec.idf[f.name]):
@@ -163,22 +131,6 @@ def to_linear_model(spark: SparkSession, model: LogisticRegressionModel, vec: Ve
 # --- grids ----------------------------------------------------------------------
 
 
-def hold_features(df: DataFrame) -> DataFrame:
-    """Write a feature frame once for the many passes of the fits.
-
-    Besides saving the feature work, this keeps the plan of each gradient pass
-    down to a file scan: otherwise every pass ships the vocabularies again.
-    """
-    return materialize(df, "features")
-
-
-def _fit_all(fits: Sequence[Callable], parallel: int = PARALLEL_FITS) -> list:
-    """Run independent fits side by side; each is a chain of small Spark jobs."""
-    spark = SparkSession.active()
-    with ThreadPool(min(parallel, len(fits))) as pool:
-        return pool.map(lambda fit: inheritable_thread_target(spark)(fit)(), fits)
-
-
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -194,22 +146,23 @@ def evaluate_scored(scored: DataFrame, by: Sequence[str], label: str = "alert_fl
 
 def grid_alpha_c(
     train: DataFrame, valid: DataFrame, alphas: Sequence[float] = ALPHA_GRID, cs: Sequence[float] = C_GRID,
-    text: str = "model_text", families: Sequence[Family] = (WORD, CHAR), max_iter: int = MAX_ITER,
-) -> tuple[DataFrame, Callable[[float, float], LogisticRegressionModel], Vectoriser]:
+    text: str = "model_text", families: Sequence[Family] = (WORD, CHAR),
+) -> tuple[DataFrame, Callable[[float, float], LinearFit], Vectoriser]:
     """Valid metrics for every pair (alpha, C) of a distilled student.
 
     ``train`` holds `alert_flag`, `teacher_label`, `teacher_confidence` and the
-    text. The features are built once and kept. Returns the grid, the fitted
-    models by parameters, and the vectoriser.
+    text. The features are built once and kept; each pass over them serves all
+    pairs. Returns the grid, the fitted models by parameters, and the vectoriser.
     """
     vec = fit_vectoriser(train, text, families=families)
-    x_train = hold_features(vec.transform(train, text).select("alert_flag", "teacher_label", "teacher_confidence", "features"))
+    x_train = vec.transform(train, text).select("alert_flag", "teacher_label", "teacher_confidence", "features")
+    for i, a in enumerate(alphas):
+        x_train = with_soft_labels(x_train, a).withColumnRenamed("soft_y", f"_soft_{i}")
+    x_train = hold_features(x_train.select("features", *[f"_soft_{i}" for i in range(len(alphas))]))
     x_valid = hold_features(vec.transform(valid, text).select("sample_id", "alert_flag", "features"))
     params = [(float(a), float(c)) for a in alphas for c in cs]
-    soft = {a: with_soft_labels(x_train, a).select("soft_y", "features") for a in alphas}
-    totals = x_train.count()  # the two weights of a row add up to one
-    fits = [lambda a=a, c=c: fit_logreg_soft(soft[a], c, max_iter=max_iter, total=totals) for a, c in params]
-    models = dict(zip(params, _fit_all(fits)))
+    sides = [_sides(f"_soft_{i}") for i in range(len(alphas)) for _ in cs]
+    models = dict(zip(params, fit_binary(x_train, sides, [c for _, c in params])))
     scored = [
         with_scores(m, x_valid).select(F.lit(a).alias("alpha"), F.lit(c).alias("C"), "sample_id", "alert_flag", "score")
         for (a, c), m in models.items()]
@@ -221,31 +174,36 @@ def best_of_grid(grid: DataFrame) -> DataFrame:
     return best_grid_row(grid, tie=["alpha", "C"])
 
 
+def class_folds(df: DataFrame, folds: int, label: str, key: str) -> DataFrame:
+    """Adds `fold`: the rows of each class are dealt out in turn, in order of a hash of the key."""
+    turn = Window.partitionBy(label, "_part").orderBy(F.xxhash64(key), key)
+    parts = df.withColumn("_part", F.pmod(F.xxhash64(key, F.lit(1)), F.lit(max(1, df.count() // 10_000))))
+    return parts.withColumn("fold", F.pmod(F.row_number().over(turn) - 1, F.lit(folds)).cast("int")).drop("_part")
+
+
 def grid_search_cv(
     train: DataFrame, cs: Sequence[float] = C_GRID, weights: Sequence[str] = ("none", "balanced"), folds: int = 3,
-    text: str = "model_text", key: str = "sample_id", families: Sequence[Family] = (WORD, CHAR), max_iter: int = MAX_ITER,
+    text: str = "model_text", key: str = "sample_id", families: Sequence[Family] = (WORD, CHAR),
 ) -> DataFrame:
     """Cross-validated F1 for every (C, class weight), best first.
 
-    The vectoriser is refitted on the training part of every fold. Folds are
-    given by the hash of the key, so that no class has to be put in order.
+    The vectoriser is refitted on the training part of every fold. Every fold
+    has its share of each class; one pass serves all parameters of a fold.
     """
-    folded = train.withColumn("fold", hash_bucket(key, folds))
+    folded = class_folds(train, folds, "alert_flag", key)
     params = [(float(c), mode) for mode in weights for c in cs]
-    fits, parts = [], []
+    scored = []
     for fold in range(folds):
         fit_on, test_on = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
         vec = fit_vectoriser(fit_on, text, key, families)
-        x_fit = hold_features(vec.transform(fit_on, text).select("alert_flag", "features"))
+        x_fit = class_weights(vec.transform(fit_on, text).select("alert_flag", "features"), balanced=True)
+        x_fit = hold_features(x_fit)
         x_test = hold_features(vec.transform(test_on, text).select("alert_flag", "features"))
-        for c, mode in params:
-            fits.append(lambda x=x_fit, c=c, mode=mode: fit_logreg(x, c, mode == "balanced", max_iter=max_iter))
-            parts.append((fold, c, mode, x_test))
-    scored = [
-        with_scores(model, x).select(
-            F.lit(c).alias("C"), F.lit(mode).alias("class_weight"), F.lit(fold).alias("fold"), "alert_flag",
-            (F.col("score") >= ALERT_THRESHOLD).cast("int").alias("pred"))
-        for model, (fold, c, mode, x) in zip(_fit_all(fits), parts)]
+        sides = [_sides("alert_flag", F.col("weight") if mode == "balanced" else F.lit(1.0)) for _, mode in params]
+        for (c, mode), model in zip(params, fit_binary(x_fit, sides, [c for c, _ in params])):
+            scored.append(with_scores(model, x_test).select(
+                F.lit(c).alias("C"), F.lit(mode).alias("class_weight"), F.lit(fold).alias("fold"), "alert_flag",
+                (F.col("score") >= ALERT_THRESHOLD).cast("int").alias("pred")))
     per_fold = binary_metrics(_union(scored), "alert_flag", "pred", ["C", "class_weight", "fold"])
     return per_fold.groupBy("C", "class_weight").agg(
         F.avg("f1").alias("mean_f1"), F.avg("precision").alias("mean_precision"), F.avg("recall").alias("mean_recall"),
@@ -258,17 +216,15 @@ def evaluate_models(models: dict[str, Callable[[DataFrame], DataFrame]], df: Dat
     return evaluate_scored(_union(scored), ["model"], threshold=threshold)
 
 
-def fit_risk_type(features: DataFrame, label: str = "risk_type_4cls", C: float = 1.0, max_iter: int = MAX_ITER):
-    """Multinomial model of the risk type: (model, class names in label order)."""
+def fit_risk_type(features: DataFrame, label: str = "risk_type_4cls", C: float = 1.0) -> tuple[LinearFit, list[str]]:
+    """Multinomial model of the risk type, intercepts without penalty: (model, class names in label order)."""
     names = sorted(r[0] for r in features.select(label).distinct().collect())
     index = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(label)) - 1
-    rows = features.select("features", index.cast("double").alias("label"))
-    lr = LogisticRegression(regParam=1.0 / (C * rows.count()), standardization=False, maxIter=max_iter, family="multinomial")
-    return lr.fit(rows), names
+    return fit_classes(features.withColumn("_class", index.cast("int")), "_class", len(names), C), names
 
 
-def predict_risk_type(model: LogisticRegressionModel, names: Sequence[str], features: DataFrame, out: str = "risk_type_pred") -> DataFrame:
+def predict_risk_type(model: LinearFit, names: Sequence[str], features: DataFrame, out: str = "risk_type_pred") -> DataFrame:
     table = F.array(*[F.lit(n) for n in names])
-    scored = model.transform(features)
-    return scored.withColumn(out, F.element_at(table, (F.col("prediction") + 1).cast("int"))).drop(
-        "rawPrediction", "probability", "prediction")
+    scored = with_margins(model, features)
+    best = F.array_position("margins", F.array_max("margins")).cast("int")
+    return scored.withColumn(out, F.element_at(table, best)).drop("margins")

@@ -36,14 +36,16 @@ def test_fit_reaches_the_optimum(spark):
     df = texts(spark)
     vec = R.fit_vectoriser(df, families=[X.WORD])
     feats = vec.transform(df).withColumn("soft_y", F.when(F.col("alert_flag") == 1, 0.9).otherwise(0.2))
-    model = R.fit_logreg_soft(feats, C=1.0, max_iter=200)
+    model = R.fit_logreg_soft(feats, C=1.0)   # default settings
     x = np.array([r.features.toArray() for r in feats.collect()])
     y = np.array([r.soft_y for r in feats.collect()])
     w = np.zeros(x.shape[1])
     for _ in range(50):   # Newton on |w|²/2 + Σ soft loss
         p = 1 / (1 + np.exp(-x @ w))
         w -= np.linalg.solve(np.eye(len(w)) + (x * (p * (1 - p))[:, None]).T @ x, w + x.T @ (p - y))
-    assert np.abs(model.coefficients.toArray() - w).max() < 2e-3
+    assert np.abs(model.coefficients - w).max() < 1e-6
+    again = R.fit_logreg_soft(feats.repartition(7), C=1.0)
+    assert np.abs(again.coefficients - w).max() < 1e-6
 
 
 def items(spark, rows):
