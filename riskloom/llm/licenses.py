@@ -78,7 +78,9 @@ def notice_scores(spark: SparkSession, files: DataFrame, templates: dict[str, li
     telling = "|".join(t.replace(".", "\\.") for t in telling_terms(rows, threshold))
     lines = files.select("file_id", F.posexplode(F.split(F.lower("text"), "\n")).alias("line", "body")).where(
         F.col("body").rlike(f"(?<![a-z0-9])(?:{telling})(?![a-z0-9])"))
-    words = lines.select("file_id", "line", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(TERM), F.lit(0)))).alias("w"))
+    # a line is told by its place and content, so rows that repeat an id count once, whether their texts agree or not
+    words = lines.select("file_id", F.xxhash64("line", "body").alias("line"), F.explode(F.regexp_extract_all(
+        "body", F.lit(TERM), F.lit(0))).alias("w")).distinct()
     valued = words.join(known, "w", "left").withColumn("square", F.coalesce("square", F.lit(round(unseen * unseen, 9))))
     norms = valued.groupBy("file_id", "line").agg(F.sqrt(F.sum("square")).alias("norm"))
     dots = valued.join(table, "w").groupBy("file_id", "line", "license", "notice").agg(F.sum(F.sqrt("square") * F.col("weight")).alias("dot"))
