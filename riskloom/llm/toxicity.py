@@ -23,6 +23,7 @@ SIZES = (4, 5, 6)
 BUCKETS = 1 << 20
 KEEP = 4096  # n-grams with a weight of their own, by strength of evidence
 CHUNKS = 64
+SLICE_BYTES = 1 << 19  # of text in work at a time; its n-grams take some hundred times that
 
 
 def ngram_buckets(texts: list[str | None], sizes: tuple[int, ...] = SIZES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -98,7 +99,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", key:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS), np.int32)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             owner, bucket = _seen(batch.column(0).to_pylist())
             toxic = batch.column(1).to_numpy()[owner] == 1
             total[1] += np.bincount(bucket[toxic], minlength=BUCKETS).astype(np.int32)
@@ -128,7 +129,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", key:
     ratios = np.array([r["ratio"] for r in found])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             owner, feature = _seen(batch.column(0).to_pylist(), number)
             cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
             names = pa.array(feature.astype(str).tolist(), pa.string())
@@ -152,7 +153,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     model = fit_toxicity(docs, labels, label, key, text)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(batch.column(1).to_pylist()))], names=["doc_id", "score"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(F.col(text)).alias("text"))
