@@ -95,10 +95,11 @@ def parse_control_message(df: DataFrame, body: str = "body") -> DataFrame:
 
     `true`, `"5"` and `5.0` are refused, as is text that is no JSON object.
     """
-    raw = F.get_json_object(F.col(body), "$.batch_id")
-    # A quoted number looks the same once extracted, so the raw text decides.
-    whole = F.col(body).rlike(r'^\s*\{') & F.col(body).rlike(r'"batch_id"\s*:\s*-?\d+\s*[,}]')
-    parsed = F.when(whole, raw.try_cast("long"))
+    # The parser overlooks what follows a value; inside brackets it would have to be a second one.
+    message = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    kind = F.schema_of_variant(F.try_variant_get(message, "$[0].batch_id", "variant"))
+    alone = F.try_variant_get(message, "$[1]", "variant").isNull()
+    parsed = F.when(alone & (kind == "BIGINT"), F.try_variant_get(message, "$[0].batch_id", "long"))
     return df.withColumn("batch_id", parsed).withColumn(
         "error", F.when(parsed.isNull(), "message must contain integer batch_id"))
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,11 +88,73 @@ def read_upload(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def batch_of_file(path_col="_metadata.file_path"):
-    """Batch name of a landing file: the `batch_id=…` part of its path, else the file name."""
+    """Batch name of a landing file: the `batch_id=…` part of its path, else the file name.
+
+    A path is escaped as a whole; a folder's name was escaped before that by the writer.
+    """
     path = F.col(path_col)
     named = F.regexp_extract(path, r"batch_id=([^/]+)/", 1)
     plain = F.regexp_extract(path, r"([^/]+?)(?:\.csv)?$", 1)
-    return F.url_decode(F.when(named != "", named).otherwise(plain))
+    return F.when(named != "", _unescaped(_unescaped(named))).otherwise(_unescaped(plain))
+
+
+def _unescaped(name):
+    return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
+
+
+def _first_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """The first line of each file that has one; rows of a file's first block come in order."""
+    def first(batches):
+        seen = set()
+        for batch in batches:
+            at = [i for i, f in enumerate(batch.column(0).to_pylist()) if not (f in seen or seen.add(f))]
+            if at:
+                yield batch.take(pa.array(at))
+
+    lines = spark.read.text(list(files)).where(F.col("_metadata.file_block_start") == 0).select(
+        _unescaped(F.col("_metadata.file_path")).alias("f"), "value").mapInArrow(first, "f string, value string")
+    return {r.f: r.value for r in lines.collect()}  # one line per file of a step
+
+
+def read_by_header(spark: SparkSession, files: Sequence[str], schema) -> tuple[DataFrame | None, list[str], dict[str, str]]:
+    """Rows of CSV files, each file's columns found by its own header: (rows, absent optional columns, errors by file).
+
+    Files of equal header are read together. Unknown columns are left out, absent optional ones are null. A file
+    without a header or without a required column gives no rows and an error that names it. Ids that the files leave out
+    are given from the file and the row's content.
+    """
+    headers: dict[tuple[str, ...], list[str]] = {}
+    errors: dict[str, str] = {}
+    lines = _first_lines(spark, files)
+    for f in files:
+        line = lines.get(f, "").lstrip("\ufeff").strip()
+        if not line:
+            errors[f] = "the file is empty"
+            continue
+        names = tuple(n.strip() for n in next(csv.reader([line])))
+        missing = [c for c in REQUIRED_COLUMNS if c not in names]
+        if missing:
+            errors[f] = "missing required columns: " + ", ".join(missing)
+            continue
+        headers.setdefault(names, []).append(f)
+    absent: set[str] = set()
+    parts = []
+    for names, group in headers.items():
+        absent |= {c for c in OPTIONAL_COLUMNS if c not in names}
+        declared = ", ".join(f"`_{i}` string" for i in range(len(names)))
+        raw = spark.read.schema(declared).options(**CSV_OPTIONS).csv(group)
+        place = {n: F.col(f"_{i}") for i, n in reversed(list(enumerate(names)))}
+        columns = [place[f.name].try_cast(f.dataType).alias(f.name) if f.name in place else F.lit(None).cast(f.dataType).alias(f.name)
+                   for f in schema.fields]
+        part = raw.select(*columns, F.col("_metadata.file_path").alias("stored_path"))
+        if "id" not in names:
+            content = [c for c in part.columns if c != "id"]
+            part = part.withColumn("id", F.xxhash64(*content).bitwiseAND(F.lit((1 << 62) - 1)))
+        parts.append(part)
+    out = None
+    for part in parts:
+        out = part if out is None else out.unionByName(part)
+    return (None if out is None else out.withColumn("batch_id", batch_of_file("stored_path"))), sorted(absent), errors
 
 
 def land_batch_files(spark: SparkSession, folder: str, schema=None) -> DataFrame:

@@ -8,7 +8,7 @@ it is written again, so retries and restarts never leave duplicates.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,9 @@ from riskloom.constants import ALERT_THRESHOLD, ENTITY_ALIASES, RISK_TERM_WEIGHT
 from riskloom.operators.items import normalise_items
 from riskloom.operators.scoring import predictions, score_items
 from riskloom.schemas import LANDING_ITEM
-from riskloom.sources.csv_files import CSV_OPTIONS, batch_of_file, null_tokens, reject_reason
+from riskloom.session import materialize
+from riskloom.sources.csv_files import _unescaped, batch_of_file, null_tokens, read_by_header, reject_reason
+from riskloom.sources.tables import clear_batches
 
 STATUS = StructType([
     StructField("batch_id", StringType()), StructField("status", StringType()),
@@ -28,57 +30,59 @@ STATUS = StructType([
 
 
 def landing_stream(spark: SparkSession, landing: str, files_per_step: int | None = None) -> DataFrame:
-    """New landing files with the batch each row belongs to.
+    """Names and batches of new landing files.
 
-    The schema is declared; ``files_per_step`` bounds the work of one step.
+    The stream itself only lists files; a step reads them by their own headers.
     """
-    reader = spark.readStream.schema(LANDING_ITEM).options(
-        **CSV_OPTIONS, pathGlobFilter="*.csv", recursiveFileLookup="true")
+    reader = spark.readStream.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
     if files_per_step is not None:
         reader = reader.option("maxFilesPerTrigger", str(files_per_step))
-    return reader.csv(landing).select("*", batch_of_file().alias("batch_id"))
+    path = F.col("_metadata.file_path")
+    # one row per file, whatever it holds; without the content column the file is not opened
+    reader = reader.schema("path string, modificationTime timestamp, length long, content binary")
+    return reader.format("binaryFile").load(landing).select(path.alias("stored_path")).withColumn(
+        "batch_id", batch_of_file("stored_path"))
 
 
-def _batch_files(spark: SparkSession, landing: str, names: list[str]) -> DataFrame:
+def _batch_files(spark: SparkSession, landing: str, names: list[str]) -> dict[str, list[str]]:
     """All files of the named batches.
 
     A step may bring only a part of the files of a batch. Since a batch is
     replaced as a whole, it is always rebuilt from all its files.
     """
-    folders = [f"{landing}/batch_id={n}" for n in names]
-    raw = spark.read.schema(LANDING_ITEM).options(
-        **CSV_OPTIONS, pathGlobFilter="*.csv", recursiveFileLookup="true").csv(folders)
-    return raw.select("*", batch_of_file().alias("batch_id"))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").load(landing)
+    named = listed.select(_unescaped(F.col("_metadata.file_path")).alias("f"), batch_of_file().alias("b"))
+    found: dict[str, list[str]] = {n: [] for n in names}
+    for r in named.where(F.col("b").isin(names)).orderBy("f").collect():
+        found[r.b].append(r.f)
+    return found
 
 
-def _append_status(df: DataFrame, out: str, status: str, error: str | None = None) -> None:
-    rows = df.select("batch_id").distinct().select(
+def _append_status(spark: SparkSession, out: str, names: list[str], status: str, error: str | None = None) -> None:
+    rows = spark.createDataFrame([(n,) for n in names], "batch_id string").select(
         "batch_id", F.lit(status).alias("status"), F.current_timestamp().alias("changed_at"),
         F.lit(error).cast("string").alias("error_message"))
-    rows.write.mode("append").parquet(f"{out}/batch_status")
-
-
-def _write_by_batch(df: DataFrame, path: str) -> None:
-    (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(path)
-    )
+    rows.coalesce(1).write.mode("append").parquet(f"{out}/batch_status")
 
 
 def score_batch(
     rows: DataFrame, out: str, aliases=ENTITY_ALIASES, weights: Mapping[str, float] = RISK_TERM_WEIGHTS,
-    threshold: float = ALERT_THRESHOLD, scorer: Callable[[DataFrame], DataFrame] | None = None,
+    threshold: float = ALERT_THRESHOLD, scorer: Callable[[DataFrame], DataFrame] | None = None, batches: Sequence[str] = (),
 ) -> None:
-    """Validate, score and store the rows of one or more whole batches."""
+    """Validate, score and store the rows of one or more whole batches.
+
+    Whatever is stored of the named batches goes first, so nothing stale is left of a batch that now has fewer rows.
+    """
     checked = null_tokens(rows.drop("batch_id")).columns
     marked = null_tokens(rows, [c for c in checked if dict(rows.dtypes)[c] == "string"]).withColumn(
         "reject_reason", reject_reason())
     valid = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejected = marked.filter(F.col("reject_reason").isNotNull())
     scored = scorer(valid) if scorer is not None else score_items(valid, aliases, weights, threshold)
-    _write_by_batch(normalise_items(scored), f"{out}/news_items")
-    _write_by_batch(predictions(scored), f"{out}/prediction_results")
-    _write_by_batch(rejected, f"{out}/rejected_rows")
+    scored = materialize(scored, "scored")  # scored once for both tables, and before anything stored is dropped
+    for name, table in (("news_items", normalise_items(scored)), ("prediction_results", predictions(scored)), ("rejected_rows", rejected)):
+        clear_batches(rows.sparkSession, out, name, batches)
+        table.write.mode("append").partitionBy("batch_id").parquet(f"{out}/{name}")
 
 
 def score_stream(
@@ -88,29 +92,38 @@ def score_stream(
 ) -> StreamingQuery:
     """Start the scoring stream over everything that has landed so far.
 
-    A step that cannot be scored does not stop the stream: its batches are
-    tried one at a time, and only those that fail themselves are marked
-    `failed` with the message; their files stay where they are for a later try.
+    Files are read by their headers: columns in any order, unknown ones left out, absent optional ones null. A batch
+    with an unusable file is marked `failed` with the reason. A step that cannot be scored does not stop the stream:
+    its batches are tried one at a time, and only those that fail themselves are marked `failed` with the message;
+    their files stay where they are for a later try.
     """
 
+    def score(session: SparkSession, files: dict[str, list[str]]) -> None:
+        rows, _, errors = read_by_header(session, [f for group in files.values() for f in group], LANDING_ITEM)
+        failed = {name: "; ".join(errors[f] for f in group if f in errors) for name, group in files.items()}
+        good = [name for name, why in failed.items() if not why]
+        if good:
+            score_batch(rows.where(F.col("batch_id").isin(good)).drop("stored_path"), out, aliases, weights, threshold, scorer, good)
+            _append_status(session, out, good, "completed")
+        for name, why in failed.items():
+            if why:
+                _append_status(session, out, [name], "failed", why)
+
     def step(rows: DataFrame, _epoch: int) -> None:
         session = rows.sparkSession
         names = [r[0] for r in rows.select("batch_id").distinct().collect()]  # bounded by files_per_step
         if not names:
             return
-        whole = _batch_files(session, landing, names)
-        _append_status(whole, out, "processing")
+        files = _batch_files(session, landing, names)
+        _append_status(session, out, names, "processing")
         try:
-            score_batch(whole, out, aliases, weights, threshold, scorer)
-            _append_status(whole, out, "completed")
+            score(session, files)
         except Exception:
             for name in names:
-                one = _batch_files(session, landing, [name])
                 try:
-                    score_batch(one, out, aliases, weights, threshold, scorer)
-                    _append_status(one, out, "completed")
+                    score(session, {name: files[name]})
                 except Exception as exc:  # a poison batch is recorded, the stream goes on
-                    _append_status(one, out, "failed", str(exc)[:500])
+                    _append_status(session, out, [name], "failed", str(exc))
 
     return (
         landing_stream(spark, landing, files_per_step).writeStream.foreachBatch(step)

@@ -81,3 +81,47 @@ def test_poison_batch_is_marked_and_the_rest_goes_on(spark, tmp_path):
     states = {r.batch_id: (r.status, r.error_message) for r in SS.batch_states(spark, str(tmp_path / "out")).collect()}
     assert states["good"][0] == "completed"
     assert states["bad"][0] == "failed" and "scorer broke" in states["bad"][1]
+
+
+def test_uploads_are_read_by_their_header(spark, tmp_path):
+    land = tmp_path / "in"
+    files = {
+        "batch_id=7/a.csv": "source,url,published_at,title,text_fragment\nx,u,2024-01-01,Суд,иск\n",
+        "batch_id=7/b.csv": "text_fragment,title,extra\n\"two\nlines\",T,1\n",
+        "batch_id=007/a.csv": "title,text_fragment\nT,day\n",
+        "batch_id=a%3Ab/a.csv": "title,text_fragment\nT,day\n",
+        "batch_id=none/a.csv": "text_fragment,url\nT,day\n",
+        "flat.csv": "title,text_fragment\nT,day\n",
+    }
+    for name, body in files.items():
+        (land / name).parent.mkdir(parents=True, exist_ok=True)
+        (land / name).write_text(body)
+    run(spark, tmp_path)
+    states = {r.batch_id: (r.status, r.error_message) for r in SS.batch_states(spark, str(tmp_path / "out")).collect()}
+    done = ("completed", None)
+    assert states == {"7": done, "007": done, "a:b": done, "flat": done, "none": ("failed", "missing required columns: title")}
+    items = spark.read.schema("id long, title string, text_fragment string, source string, batch_id string").parquet(str(tmp_path / "out/news_items"))
+    got = sorted((r.batch_id, r.title, r.text_fragment, r.source) for r in items.collect())
+    assert [g[0] for g in got] == ["007", "7", "7", "a:b", "flat"]
+    assert got[1][1:] == ("T", "two\nlines", None) and got[2][1:] == ("Суд", "иск", "x")
+
+
+def test_nothing_stale_is_left_of_a_replaced_batch(spark, tmp_path):
+    land = tmp_path / "in" / "batch_id=a"
+    land.mkdir(parents=True)
+    (land / "1.csv").write_text("title,text_fragment\nT,day\n")
+    run(spark, tmp_path)
+    (land / "1.csv").write_text("title,text_fragment\n ,day\n")
+    run(spark, tmp_path)
+    out = str(tmp_path / "out")
+    kinds = "news_item_id long, batch_id string"
+    assert spark.read.schema(kinds).parquet(f"{out}/prediction_results").count() == 0
+    assert spark.read.parquet(f"{out}/rejected_rows").count() == 1
+
+
+def test_control_messages(spark):
+    from riskloom.operators.results import parse_control_message
+    bodies = ['{"batch_id": 5}', '{"x":{"batch_id":5},"batch_id":"7"}', '{"batch_id": 5} trailing', '{"batch_id": 5.0}', '{"batch_id": true}',
+              "[]", "x", None, '{"batch_id": -3, "x": 1}']
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    assert [r.batch_id for r in parse_control_message(df).collect()] == [5, None, None, None, None, None, None, None, -3]
