@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from riskloom.session import materialize
 
-TOLERANCE = 1e-7   # of the gradient at the start
+TOLERANCE = 1e-6   # of the gradient at the start
 GIVE_UP = 5000     # passes after which a fit that has not converged raises
 SLICES = 16
 _VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
