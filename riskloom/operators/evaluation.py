@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import REVIEW_GRID, SWEEP_GRID
 from riskloom.functions.numbers import confidence, custom_rank, is_close, ratio_or_zero
-from riskloom.operators.running import running_sums
+from riskloom.operators.running import percentiles, running_sums
 from riskloom.session import materialize
 
 COUNTS = ["tp", "fp", "fn", "tn"]
@@ -181,10 +181,10 @@ def review_zone(
 
 def quartile_edges(df: DataFrame, column: str) -> list[float]:
     """Minimum, quartiles and maximum (linear), equal edges merged."""
-    v, n = F.col(column).cast("double"), F.col("n")
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.percentile(v, [0.0, 0.25, 0.5, 0.75, 1.0], n).alias("q")).first()
-    return sorted(set(row.q or []))
+    values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    probs = {f"q{i}": i / 4 for i in range(5)}
+    row = percentiles(materialize(values, "value-counts"), probs).first()
+    return sorted({q for q in row or () if q is not None})
 
 
 def error_rate_by_quartile(
@@ -245,7 +245,7 @@ def worst_errors(df: DataFrame, k: int = 10, label="alert_flag", pred="student_p
 
 
 def classification_report(df: DataFrame, label: str = "alert_flag", pred: str = "student_pred") -> DataFrame:
-    """Precision, recall, F1 and support per class with macro and weighted means."""
+    """Precision, recall, F1 and support per class with macro and weighted means, and the accuracy as `f1` of a row of its own."""
     cells = df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("n"))
     y, p, n = F.col(label).cast("string"), F.col(pred).cast("string"), F.col("n")
     hit = F.when(y == p, n).otherwise(F.lit(0))
@@ -270,7 +270,11 @@ def classification_report(df: DataFrame, label: str = "alert_flag", pred: str =
         F.lit("weighted avg").alias("class"),
         *[(F.sum(F.col(m) * F.col("support")) / F.sum("support")).alias(m) for m in metrics],
         F.sum("support").alias("support"))
-    return per_class.unionByName(macro).unionByName(weighted)
+    nothing = F.lit(None).cast("double")
+    accuracy = sums.agg(
+        F.lit("accuracy").alias("class"), nothing.alias("precision"), nothing.alias("recall"),
+        ratio_or_zero(F.sum("tp"), F.sum("support")).alias("f1"), F.sum("support").alias("support"))
+    return per_class.unionByName(accuracy).unionByName(macro).unionByName(weighted)
 
 
 def answer_metrics(df: DataFrame, label: str = "alert_flag", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:

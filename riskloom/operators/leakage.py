@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.text import digest, hash_bucket
+from riskloom.session import materialize
 
 
 def leaking_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -36,9 +37,14 @@ def cross_split_leaks(df: DataFrame, checks: dict[str, Sequence[str]]) -> DataFr
 
 
 def rows_for_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """All rows whose key leaks. The key side is unique, one row per key."""
+    """All rows whose key leaks.
+
+    The leaking keys are written first: each side of the join has an exchange
+    of its own, so a key with very many rows can be split.
+    """
     keyed = df.withColumn("_key", digest(*key))
-    return keyed.join(leaking_keys(df, key).select("_key"), "_key", "left_semi").drop("_key")
+    leaking = materialize(leaking_keys(df, key).select("_key"), "leaking-keys")
+    return keyed.join(leaking, "_key", "left_semi").drop("_key")
 
 
 def split_key_overlap(df: DataFrame, key: str) -> DataFrame:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.constants import NO_RISK
 from riskloom.functions.text import digest, is_blank, keyword_array, words
+from riskloom.operators.running import percentiles
+from riskloom.session import materialize
 
 TEXT_KEY = ["text_fragment"]
 FULL_KEY = ["title", "text_fragment", "entity_norm"]
@@ -77,11 +80,12 @@ def duplicate_rows(df: DataFrame, key: Sequence[str], order: Sequence[str] = ())
     """Every row whose key occurs more than once.
 
     The repeated keys are found on digests with per-task counting and joined
-    back. They are unique on their side, so a key with very many rows is split
-    by the skew handling of the join instead of filling one window.
+    back from a written table. That gives each side of the join an exchange of
+    its own (or broadcasts the keys, if few), so adaptive execution can split a
+    key with very many rows.
     """
     keyed = df.withColumn("_key", digest(*key))
-    repeated = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    repeated = materialize(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "repeated")
     rows = keyed.join(repeated, "_key").drop("_key")
     return rows.orderBy(*order) if order else rows
 
@@ -132,27 +136,32 @@ def _value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     )
 
 
+def _same(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+
+
 def grouped_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, mean, std, min, quartiles and max per column (and group).
 
-    Rows are first counted per distinct value, so what reaches the exact
-    percentiles is at most the number of different lengths or counts.
+    Rows are first counted per distinct value. Quartiles come from running
+    counts and the spread from a second pass, so a column of as many values as
+    rows is never gathered in one task.
     """
-    n, v = F.col("n"), F.col("value")
-    counts = _value_counts(df, cols, by)
-    stats = counts.groupBy(*by, "column").agg(
-        F.sum("n").alias("count"),
-        (F.sum(v * n) / F.sum("n")).alias("mean"),
-        F.min(v).alias("min"),
-        F.percentile(v, 0.25, n).alias("p25"), F.percentile(v, 0.5, n).alias("median"),
-        F.percentile(v, 0.75, n).alias("p75"),
-        F.max(v).alias("max"),
-        F.collect_list(F.struct(v, n)).alias("_values"),
-    )
-    mean, count = F.col("mean"), F.col("count")
-    spread = F.aggregate("_values", F.lit(0.0), lambda acc, x: acc + x["n"] * (x["value"] - mean) * (x["value"] - mean))
-    return stats.select(
-        *by, "column", "count", "mean", F.when(count > 1, F.sqrt(spread / (count - 1))).alias("std"),
+    n, v, keys = F.col("n"), F.col("value"), [*by, "column"]
+    counts = materialize(_value_counts(df, cols, by), "value-counts")
+    stats = materialize(counts.groupBy(*keys).agg(
+        F.sum("n").alias("count"), (F.sum(v * n) / F.sum("n")).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")),
+        "value-stats")
+    means = stats.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("mean").alias("_mean"))
+    apart = v - F.col("_mean")
+    squares = counts.join(means, _same(keys), "inner").groupBy(*keys).agg(F.sum(n * apart * apart).alias("_squares"))
+    quarters = percentiles(counts, {"p25": 0.25, "median": 0.5, "p75": 0.75}, keys=keys)
+    out = stats
+    for side in (squares, quarters):
+        named = side.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+        out = out.join(named, _same(keys), "inner").drop(*[f"_k{i}" for i in range(len(keys))])
+    return out.select(
+        *keys, "count", "mean", F.when(F.col("count") > 1, F.sqrt(F.col("_squares") / (F.col("count") - 1))).alias("std"),
         "min", "p25", "median", "p75", "max",
     )
 

@@ -182,6 +182,7 @@ report AS (SELECT class, CASE WHEN predicted = 0 THEN 0 ELSE tp / predicted END
 
 _REPORT = """SELECT class, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
 SELECT * FROM report UNION ALL
+SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), CAST(sum(support) AS BIGINT) FROM classes UNION ALL
 SELECT 'macro avg', avg("precision"), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM report UNION ALL
 SELECT 'weighted avg', sum("precision" * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support),
   CAST(sum(support) AS BIGINT) FROM report)"""
