@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from riskloom.functions.numbers import sigmoid
 from riskloom.functions.text import pairs_of, visible_words, words
 
-MAX_VOCABULARY = 50_000  # largest vocabulary limit in use; bounds every broadcast below
-
 
 @dataclass(frozen=True)
 class Family:
@@ -107,16 +105,9 @@ def document_count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
-def bounded(vocab: DataFrame, family: Family) -> DataFrame:
-    """Broadcast a vocabulary only when its limit proves it small."""
-    if family.max_features is not None and family.max_features <= MAX_VOCABULARY:
-        return F.broadcast(vocab)
-    return vocab
-
-
-def tfidf(terms: DataFrame, vocab: DataFrame, family: Family, key: str) -> DataFrame:
-    """(key, term, weight) with unit length per document."""
-    raw = terms.join(bounded(vocab.select("term", "idf"), family), "term").withColumn("_w", F.col("tf") * F.col("idf"))
+def tfidf(terms: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
+    """(key, term, weight) with unit length per document. Adaptive execution broadcasts a vocabulary that is small when built."""
+    raw = terms.join(vocab.select("term", "idf"), "term").withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return raw.withColumn("weight", F.col("_w") / norm).select(key, "term", "weight")
 
@@ -124,7 +115,7 @@ def tfidf(terms: DataFrame, vocab: DataFrame, family: Family, key: str) -> DataF
 def fit_transform(df: DataFrame, family: Family, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     terms = doc_terms(df, family, key, text)
     vocab = fit_vocabulary(terms, document_count(df), family)
-    return vocab, tfidf(terms, vocab, family, key)
+    return vocab, tfidf(terms, vocab, key)
 
 
 def feature_union(*blocks: tuple[str, DataFrame]) -> DataFrame:
@@ -142,15 +133,15 @@ FAMILIES_BY_NAME = {"word": WORD, "char": CHAR}
 def score_linear(df: DataFrame, model, key: str, text: str, out: str = "score") -> DataFrame:
     """Probability of the positive class for every row of ``df``.
 
-    The weights are bounded by the vocabulary limit and broadcast; per family
-    one aggregate gives both the weighted sum and the length of the document
+    The weights may come from a stored model of any size, so whether they are
+    broadcast is left to their measured size; per family one aggregate gives both the weighted sum and the length of the document
     vector. Terms, sums and the join back to the rows all use the one
     partitioning by ``key``. A text without known terms gets the intercept.
     """
     sums = None
     for name in sorted(model.meta.get("families", "word,char").split(",")):
         family = FAMILIES_BY_NAME[name]
-        weights = F.broadcast(model.weights.filter(F.col("family") == name).select("term", "idf", "coef"))
+        weights = model.weights.filter(F.col("family") == name).select("term", "idf", "coef")
         w = F.col("tf") * F.col("idf")
         part = (
             doc_terms(df, family, key, text).join(weights, "term").groupBy(key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.constants import NO_RISK
@@ -231,8 +231,8 @@ def target_mismatches(df: DataFrame, risk: str = "risk_type_4cls", flag: str = "
     return df.filter(F.col(flag) != expected_alert(risk))
 
 
-def rule_checks(df: DataFrame, risk="risk_type_4cls", flag="alert_flag", keywords="found_risk_keywords") -> DataFrame:
-    """The four labelling rules: violating rows and a few examples each."""
+def rule_checks(df: DataFrame, risk="risk_type_4cls", flag="alert_flag", keywords="found_risk_keywords", examples: int = 5) -> DataFrame:
+    """The four labelling rules: violating rows, the first `examples` of them (by id) and the very first."""
     pos = F.col(flag).cast("int") == 1
     none = F.col(risk) == NO_RISK
     bare = is_blank(keywords)
@@ -243,8 +243,13 @@ def rule_checks(df: DataFrame, risk="risk_type_4cls", flag="alert_flag", keyword
         "no_alert_with_keywords": ~pos & ~bare,
     }
     cells = F.array(*[F.struct(F.lit(n).alias("check"), c.alias("hit")) for n, c in rules.items()])
-    return df.select("sample_id", F.inline(cells)).groupBy("check").agg(
+    checked = df.select("sample_id", F.inline(cells))
+    counts = checked.groupBy("check").agg(
         F.count_if("hit").alias("rows"), F.min(F.when(F.col("hit"), F.col("sample_id"))).alias("first_example"))
+    # The rank limit is applied per task before the shuffle.
+    ranked = checked.filter("hit").withColumn("_rn", F.row_number().over(Window.partitionBy("check").orderBy("sample_id")))
+    some = ranked.filter(F.col("_rn") <= examples).groupBy("check").agg(F.array_sort(F.collect_list("sample_id")).alias("examples"))
+    return counts.join(some, "check", "left")
 
 
 def temporal_drift(df: DataFrame, part: str = "published_year", flag: str = "alert_flag") -> DataFrame:

@@ -229,11 +229,12 @@ _RULES = {
 
 
 @query("PR21", with_views(" UNION ALL ".join(
-    f"SELECT '{n}' AS \"check\", count(*) FILTER ({c}) AS rows, min(sample_id) FILTER ({c}) AS first_example FROM noisy"
+    f"SELECT '{n}' AS \"check\", count(*) FILTER ({c}) AS rows, min(sample_id) FILTER ({c}) AS first_example, "
+    f"array_to_string(list_slice(list(sample_id ORDER BY sample_id) FILTER ({c}), 1, 5), ',') AS examples FROM noisy"
     for n, c in _RULES.items()), "v_labelled", extra="""noisy AS (
 SELECT * REPLACE (CASE WHEN sample_id % 9 = 0 THEN 1 - alert_flag ELSE alert_flag END AS alert_flag) FROM v_labelled)"""))
 def rule_checks(v: Views):
-    return P.rule_checks(_noisy(v))
+    return P.rule_checks(_noisy(v)).withColumn("examples", F.array_join(F.col("examples").cast("array<string>"), ","))
 
 
 @query("SM1", "SELECT doc_id, lang FROM documents ORDER BY md5(doc_id || ':42'), doc_id LIMIT 30")
