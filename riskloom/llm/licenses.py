@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import text_or_empty
@@ -66,25 +66,33 @@ def telling_terms(rows: list[tuple[str, int, str, float]], threshold: float) ->
     return sorted(out)
 
 
-def notice_scores(spark: SparkSession, files: DataFrame, templates: dict[str, list[str]], threshold: float) -> DataFrame:
+def _sum(words: Column, values: dict[str, float]) -> Column:
+    """The sum of the values of those words that have one."""
+    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    return F.aggregate(F.array_intersect(words, F.lit(list(values))), F.lit(0.0), lambda total, w: total + table[w])
+
+
+def notice_scores(files: DataFrame, templates: dict[str, list[str]], threshold: float) -> DataFrame:
     """(file_id, license, score): the best template of each file, over all lines of its whole text.
 
     A line counts if it has one of the terms without which the threshold is out of reach. Its length in the cosine takes
-    in the terms that no template knows. Scores are rounded to 6 places; ties go to the first licence by name.
+    in the terms that no template knows. A line is scored in its row against all notices, whose terms are fixed; only
+    scores over the threshold are shuffled. Scores are rounded to 6 places; ties go to the first licence by name.
     """
     rows, squares, unseen = template_weights(templates)
-    table = spark.createDataFrame(rows, "license string, notice int, w string, weight double").coalesce(1)
-    known = spark.createDataFrame(list(squares.items()), "w string, square double").coalesce(1)
     telling = "|".join(t.replace(".", "\\.") for t in telling_terms(rows, threshold))
-    lines = files.select("file_id", F.posexplode(F.split(F.lower("text"), "\n")).alias("line", "body")).where(
+    lines = files.select("file_id", F.explode(F.split(F.lower("text"), "\n")).alias("body")).where(
         F.col("body").rlike(f"(?<![a-z0-9])(?:{telling})(?![a-z0-9])"))
-    # a line is told by its place and content, so rows that repeat an id count once, whether their texts agree or not
-    words = lines.select("file_id", F.xxhash64("line", "body").alias("line"), F.explode(F.regexp_extract_all(
-        "body", F.lit(TERM), F.lit(0))).alias("w")).distinct()
-    valued = words.join(known, "w", "left").withColumn("square", F.coalesce("square", F.lit(round(unseen * unseen, 9))))
-    norms = valued.groupBy("file_id", "line").agg(F.sqrt(F.sum("square")).alias("norm"))
-    dots = valued.join(table, "w").groupBy("file_id", "line", "license", "notice").agg(F.sum(F.sqrt("square") * F.col("weight")).alias("dot"))
-    scored = dots.join(norms, ["file_id", "line"]).select(
+    terms = lines.select("file_id", F.array_distinct(F.regexp_extract_all("body", F.lit(TERM), F.lit(0))).alias("terms"))
+    known = terms.select("file_id", F.array_intersect("terms", F.lit(list(squares))).alias("known"), F.size("terms").alias("n"))
+    norm = F.sqrt(_sum(F.col("known"), squares) + (F.col("n") - F.size("known")) * F.lit(round(unseen * unseen, 9)))
+    notices: dict[tuple[str, int], dict[str, float]] = {}
+    for name, i, w, weight in rows:
+        notices.setdefault((name, i), {})[w] = math.sqrt(squares[w]) * weight
+    scores = F.array(*[
+        F.struct(F.lit(name).alias("license"), _sum(F.col("known"), parts).alias("dot"))
+        for (name, _), parts in notices.items()])
+    scored = known.select("file_id", norm.alias("norm"), F.inline(scores)).select(
         "file_id", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
     best = scored.groupBy("file_id").agg(F.min(F.struct((-F.col("score")).alias("less"), "license")).alias("b"))
     return best.select("file_id", F.col("b.license").alias("license"), (-F.col("b.less")).alias("score"))
@@ -109,7 +117,7 @@ def license_scan(files: DataFrame, templates: dict[str, list[str]] | None = None
     """
     templates = TEMPLATES if templates is None else templates
     files = files.select("file_id", F.col("path").cast("string").alias("path"), text_or_empty(F.col("text")).alias("text"))
-    own = materialize(notice_scores(files.sparkSession, files, templates, threshold), "notices")
+    own = materialize(notice_scores(files, templates, threshold), "notices")
     named = F.upper(F.regexp_extract("path", "([^/]*)$", 1)).rlike("^(LICEN[CS]E|COPYING|NOTICE)([^A-Z].*)?$")
     place = files.select("file_id", "path", _directory(F.col("path")).alias("dir"), named.alias("named"))
     mine = own.select(F.col("file_id").alias("_f"), "license", "score")
