@@ -173,29 +173,26 @@ def _crossing_pairs(suspects: DataFrame, held: DataFrame, per_cent: int) -> Data
 def components(links: DataFrame) -> DataFrame:
     """(node, component), the smallest node each node can reach.
 
-    Nodes hand the least node they see first to their larger, then to their smaller neighbours, until nothing changes.
-    The least nodes are written before they are joined, so each side of a join has an exchange of its own and a node
-    with very many links is split.
+    Nodes hand the least node they see first to their larger, then to their smaller neighbours, until every node has one
+    link, to a node without smaller ones. The least nodes are written before they are joined, so each side of a join has
+    an exchange of its own and a node with very many links is split.
     """
     now = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
 
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def settled(edges: DataFrame) -> bool:
+        ends = edges.select(F.col("u").alias("node"), "v").unionByName(
+            edges.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("v")))
+        seen = ends.groupBy("node").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.max(F.col("v").isNull()).alias("least"))
+        return seen.where((F.col("low") != F.col("high")) | (F.col("low").isNotNull() & F.col("least"))).isEmpty()
 
-    seen = state(now)
-    while True:
+    while not settled(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
-        up = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        up = materialize(up, "links")
+        up = materialize(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), "links")
         low = materialize(up.groupBy("u").agg(F.min("v").alias("m")), "least")
         down = up.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         now = materialize(down, "links")
-        after = state(now)
-        if after == seen:
-            break
-        seen = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
@@ -211,7 +208,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
        of another group in so many coordinates; these few are paired by the rarest of their shingles, with the lists
        that common passages fill skipped (`_crossing_pairs`). Every pair of different groups that can reach the
        similarity is formed.
-    4. Pairs over the match threshold are confirmed on their full sets; links make components.
+    4. Pairs over the match threshold are confirmed on their full sets; their links join the groups.
 
     Null text counts as empty. A text without words is linked with nothing and is its own component; so is a row with a
     null id, whose component is null. Repeated rows share their class; an id with several texts joins their groups. An
@@ -247,12 +244,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     held = _sets_of(suspects.select("rep"), docs, key, text, words)
     met = materialize(_crossing_pairs(suspects, held, per_cent), "met")
     second = materialize(_with_matches(met, reps, matches), "candidates")
-    more = _confirmed(second, held, per_cent)
-    links = materialize(links.unionByName(more), "links")
-    groups = components(links)
-
-    found = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
-        F.col("set_1").alias("s1"), F.col("set_2").alias("s2"), F.col("n_shingles").alias("ns"), F.coalesce("component", "rep").alias("of"))
+    more = materialize(_confirmed(second, held, per_cent), "links")
+    for end in ("a", "b"):
+        names = groups.select(F.col("node").alias(end), F.col("component").alias("of"))
+        more = more.join(names, end, "left").withColumn(end, F.coalesce("of", end)).drop("of")
+    merged = components(more).select(F.col("node").alias("from"), F.col("component").alias("into"))
+
+    found = classes.join(groups, F.col("rep") == F.col("node"), "left").withColumn("of", F.coalesce("component", "rep"))
+    found = found.join(merged, F.col("of") == F.col("from"), "left").select(
+        F.col("set_1").alias("s1"), F.col("set_2").alias("s2"), F.col("n_shingles").alias("ns"), F.coalesce("into", "of").alias("of"))
     found = materialize(found, "class-groups")
     joined = sketch.select("doc_id", "n_shingles", "set_1", "set_2").join(
         found, (F.col("set_1") == F.col("s1")) & (F.col("set_2") == F.col("s2")) & (F.col("n_shingles") == F.col("ns")), "left")
