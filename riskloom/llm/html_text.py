@@ -236,8 +236,9 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     observed = materialize(observe(rows), "style-tree")
     told = importance(observed).where(F.col("pages") >= LEAST_PAGES)
     high = F.col("importance") >= LEAST_IMPORTANCE
-    odd = told.where(F.when(F.col("prior") == "noise", high).otherwise(~high))
-    cut = materialize(odd.groupBy(F.col("host").alias("_host")).agg(F.sort_array(F.collect_set("path")).alias("odd")), "branches")
+    odd = told.where((F.col("prior") != "noise") & ~high)
+    cut = materialize(odd.groupBy(F.col("host").alias("_host")).agg(
+        F.sort_array(F.collect_set(F.concat_ws(" ", "prior", "path"))).alias("odd")), "branches")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
@@ -248,7 +249,7 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
                 has_main = any(n.main and not n.noise for n, _ in tree.blocks)
                 kept, gone = [], set()
                 for node, text in tree.blocks:
-                    high = node.main and not node.noise or node.noise == (node.path in odd)
+                    high = not node.noise and f"{node.prior} {node.path}" not in odd
                     if not high or (has_main and not node.main):
                         gone.add(node.path)
                     else:

@@ -82,6 +82,18 @@ def test_branches_that_repeat_on_a_host_go(spark):
     assert all(got[100 + i][0] == "Only here" for i in range(5))
 
 
+def test_marked_noise_goes_on_a_host_of_any_size(spark):
+    rows = [(i, "http://a/", f"<body><p>{i} text<div id=comments><p>comment {i}</div><div>x{i}</div><div hidden>y{i}</div></body>") for i in range(2500)]
+    got = extract(spark, rows)
+    assert all(got[i][0] == f"{i} text\nx{i}" for i in range(2500))
+
+
+def test_marks_and_plain_elements_of_one_path_are_told_apart(spark):
+    rows = [(i, "http://a/", f"<body><div>Always</div><p>text {i}</p><div hidden>secret {i}</div></body>") for i in range(100)]
+    got = extract(spark, rows)
+    assert all(got[i][0] == f"text {i}" for i in range(100))
+
+
 def test_very_deep_and_long_pages(spark):
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert [t for _, t in PageTree().read(deep).blocks] == ["x"]
