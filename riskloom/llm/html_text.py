@@ -18,7 +18,7 @@ LEAST_PAGES = 8  # on a host with fewer pages an element keeps the importance th
 LEAST_IMPORTANCE = 0.6
 DECAY = 0.9
 #: What HTML suggests before any page is seen, and how many pages that counts for: by kind of element.
-PRIOR = {"noise": (0.0, 1000), "block": (0.7, 30), "other": (0.5, 30)}
+PRIOR = {"noise": (0.0, 1000), "block": (0.7, 30), "other": (0.5, 30), "inside": (1.0, 30), "outside": (0.3, 30)}
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
@@ -40,14 +40,19 @@ _BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "main", "children")
+    __slots__ = ("tag", "path", "noise", "main", "outer", "children", "outside")
 
-    def __init__(self, tag: str, path: str, noise: bool, main: bool):
-        self.tag, self.path, self.noise, self.main, self.children = tag, path, noise, main, []
+    def __init__(self, tag: str, path: str, noise: bool, main: bool, outer: bool = False):
+        self.tag, self.path, self.noise, self.main, self.outer, self.children, self.outside = tag, path, noise, main, outer, [], False
 
     @property
     def prior(self) -> str:
-        return "noise" if self.noise else "main" if self.main else "block" if self.tag in _BLOCKS else "other"
+        """`main` is the outermost element of its kind only, `outside` what stands beside it on its page."""
+        if self.noise:
+            return "noise"
+        if self.main:
+            return "main" if self.outer else "inside"
+        return "outside" if self.outside else "block" if self.tag in _BLOCKS else "other"
 
 
 # a comment, a tag, a tag with unbalanced quotes, a declaration, or text
@@ -59,7 +64,8 @@ class PageTree:
     """Block elements of one page as a tree, and its texts in page order with the element each belongs to.
 
     Inline markup belongs to the block around it. Elements that HTML or their class names mark as menus, notices,
-    adverts and the like are presentation of importance 0 wherever they stand; `article` and `main` have importance 1.
+    adverts and the like are presentation of importance 0 wherever they stand; the outermost `article` or `main` has
+    importance 1. Where such elements hold at least half of a page's text, HTML suggests that the rest lies outside.
     """
 
     def __init__(self):
@@ -111,9 +117,9 @@ class PageTree:
         role = about.get("role", "").lower()
         inside_title = tag == "header" and up.main
         noise = up.noise or tag == "head" or (tag in NOISE_TAGS and not inside_title) or role in NOISE_ROLES or (
-            tag not in ("html", "body", "article", "main") and any(m in NOISE_WORDS for m in marks)) or "hidden" in about
+            tag not in ("html", "body", "main") and any(m in NOISE_WORDS for m in marks)) or "hidden" in about
         main = up.main or tag in MAIN_TAGS or role in ("main", "article")
-        node = _Node(tag, f"{up.path}/{tag}{'.' if marks else ''}{'.'.join(marks)}", noise, main)
+        node = _Node(tag, f"{up.path}/{tag}{'.' if marks else ''}{'.'.join(marks)}", noise, main, main and not up.main)
         up.children.append(node.path.rpartition("/")[2])
         self.stack.append(node)
         self.nodes.append(node)
@@ -150,6 +156,10 @@ class PageTree:
                 else:
                     self._start_tag(tag.lower(), attrs)
         self._end_block()
+        within = sum(len(t) for n, t in self.blocks if n.main and not n.noise)
+        if within and 2 * within >= sum(len(t) for n, t in self.blocks if not n.noise):
+            for node in self.nodes:
+                node.outside = not node.main
         return self
 
 
@@ -224,9 +234,10 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
 
     The trees of a host's pages are merged by element path; features are counted per task first, so a host with most
     pages is a few rows per task. A branch goes if its texts lie in elements of low importance: what HTML marks as menu,
-    footer or advert starts at 0, `article` and `main` are fixed at 1, the rest is for the host's pages to tell. Where
-    a page has an `article` or `main`, its texts outside go too. Only the paths where the tree says otherwise than HTML
-    are gathered, per host, and join the pages in a join that adaptive execution can split.
+    footer or advert goes on a host of any size, the outermost `article` or `main` is fixed at 1, the rest is for the
+    host's pages to tell. Elements inside it start at 1 and go where they repeat from page to page, unless nothing of it
+    would be left; elements beside it start low, and stay where they differ. Only the paths where the tree says
+    otherwise than HTML are gathered, per host, and join the pages in a join that adaptive execution can split.
 
     Null html is an empty page with empty text; a null url belongs to the host ''. Broken markup is read as far as it
     goes. Repeated rows are extracted one by one and count as pages of their host. An empty table gives no rows. Other
@@ -236,7 +247,7 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     observed = materialize(observe(rows), "style-tree")
     told = importance(observed).where(F.col("pages") >= LEAST_PAGES)
     high = F.col("importance") >= LEAST_IMPORTANCE
-    odd = told.where((F.col("prior") != "noise") & ~high)
+    odd = told.where((F.col("prior") != "noise") & F.when(F.col("prior") == "outside", high).otherwise(~high))
     cut = materialize(odd.groupBy(F.col("host").alias("_host")).agg(
         F.sort_array(F.collect_set(F.concat_ws(" ", "prior", "path"))).alias("odd")), "branches")
 
@@ -246,14 +257,15 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
             for page, odd in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 tree = PageTree().read(page)
                 odd = frozenset(odd or ())
-                has_main = any(n.main and not n.noise for n, _ in tree.blocks)
+                high = [not n.noise and (f"{n.prior} {n.path}" in odd) == n.outside for n, _ in tree.blocks]
+                if not any(h for h, (n, _) in zip(high, tree.blocks) if n.main):  # a page that is nothing but copies
+                    high = [h or n.main and not n.noise for h, (n, _) in zip(high, tree.blocks)]
                 kept, gone = [], set()
-                for node, text in tree.blocks:
-                    high = not node.noise and f"{node.prior} {node.path}" not in odd
-                    if not high or (has_main and not node.main):
-                        gone.add(node.path)
-                    else:
+                for keep, (node, text) in zip(high, tree.blocks):
+                    if keep:
                         kept.append(text)
+                    else:
+                        gone.add(node.path)
                 texts.append("\n".join(kept))
                 removed.append(len(gone))
             yield pa.RecordBatch.from_pydict({

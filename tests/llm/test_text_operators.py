@@ -94,6 +94,24 @@ def test_marks_and_plain_elements_of_one_path_are_told_apart(spark):
     assert all(got[i][0] == f"text {i}" for i in range(100))
 
 
+def test_the_tree_decides_inside_and_beside_main(spark):
+    def page(i):
+        return (f"<body><div class=story><p>{i} {'story ' * 9}</p></div><main><h1>Title {i}</h1><div class=box>Buy this</div>"
+                f"<article><p>{i} {'word ' * 30}</p></article></main><div class=strip>Always</div></body>")
+
+    def small(i):  # the body is a div, what HTML calls an article is a teaser or a comment
+        return f"<div class=text>{i} {'word ' * 30}</div><article><p>Teaser {i}</p></article><article class=comment>{i} {'reply ' * 60}</article>"
+
+    copy = "<main><div><p>Same</p></div></main>"
+    got = extract(spark, [(i, "http://a/", page(i)) for i in range(100)] + [(100 + i, "http://b/", copy) for i in range(50)]
+                  + [(200 + i, f"http://c{i}/", small(i)) for i in range(3)] + [(300, "http://d/", page(0))])
+    for i in range(100):
+        assert got[i][0].split("\n") == [f"{i} {'story ' * 9}".strip(), f"Title {i}", f"{i} {'word ' * 30}".strip()]
+    assert all(got[100 + i][0] == "Same" for i in range(50))
+    assert all(got[200 + i][0] == f"{i} {'word ' * 30}Teaser {i}".replace("word T", "word\nT") for i in range(3))
+    assert got[300][0] == f"Title 0\nBuy this\n0 {'word ' * 30}".strip()
+
+
 def test_very_deep_and_long_pages(spark):
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert [t for _, t in PageTree().read(deep).blocks] == ["x"]
