@@ -140,6 +140,13 @@ def test_leaks(spark):
     assert leaked(spark, [ITEM], items=()) == set()
 
 
+def test_copies_of_items_of_mostly_slots_and_in_other_case(spark):
+    sums = "What is 12 + 7 * 3 - 45 / 9 + 16 - 8 * 2 + 31 - 6 + 77 - 5?"
+    nouns = "Der Hund und die Katze sahen den Vogel im Garten der Tante bei der Kirche am Markt"
+    got = leaked(spark, ["so " * 7 + sums, sums.replace("45", "44"), nouns, nouns.lower(), "x " + nouns.upper()], items=((1, sums), (2, nouns)))
+    assert got == {(0, 1, False), (2, 2, False), (3, 2, False), (4, 2, False)}
+
+
 def test_drop_leaks_keeps_columns_and_null_ids(spark):
     bench = spark.createDataFrame([(1, OTHER), (1, OTHER)], "item_id long, text string")
     df = docs_of(spark, [OTHER, OTHER, "clean", OTHER], [1, 1, 2, None])
