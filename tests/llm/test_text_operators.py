@@ -147,6 +147,15 @@ def test_copies_of_items_of_mostly_slots_and_in_other_case(spark):
     assert got == {(0, 1, False), (2, 2, False), (3, 2, False), (4, 2, False)}
 
 
+def test_names_at_sentence_starts_and_of_other_lengths(spark):
+    tom = "Tom has 3 red apples. Tom buys 5 more apples at the shop near the old river. How many apples does Tom have in the end?"
+    smith = "last week the teacher Robert Smith gave 4 books to the class and then Robert Smith took 2 of them home again"
+    ann = tom.replace("Tom", "Ann").replace("3", "7").replace("5", "9")
+    got = leaked(spark, [ann, ann.replace(". ", ".\n\n").replace("does ", "does\n"), smith.replace("Robert Smith", "Ann")],
+                 items=((1, tom), (2, smith)))
+    assert got == {(0, 1, True), (1, 1, True), (2, 2, True)}
+
+
 def test_drop_leaks_keeps_columns_and_null_ids(spark):
     bench = spark.createDataFrame([(1, OTHER), (1, OTHER)], "item_id long, text string")
     df = docs_of(spark, [OTHER, OTHER, "clean", OTHER], [1, 1, 2, None])
