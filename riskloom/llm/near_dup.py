@@ -99,15 +99,15 @@ def _sets_of(ids: DataFrame, docs: DataFrame, key: str, text: str, words: int) -
 
     Texts are not shuffled for it: a bitmap of hashed ids, of fixed size, goes to the tasks that scan them.
     """
-    bit = F.pmod(F.xxhash64(ids.columns[0]), F.lit(FILTER_BITS))
+    bit = F.pmod(F.xxhash64(ids.columns[0]), F.lit(FILTER_BITS)) + 1
     parts = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
     bits = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
     for r in parts:
         bits[(r["part"] - 1) * 4096:r["part"] * 4096] = np.frombuffer(r["bits"], np.uint8)
-    # buckets count from 1; a bucket number tells the same position for a bit wherever it is asked
+    # bits and buckets count from 1 (a bit 0 would lie in a bucket 0); a bucket number tells the same position for a bit wherever it is asked
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(F.col(text)).alias("text")).where("doc_id is not null")
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
     rows = rows.withColumn("spot", (F.bitmap_bucket_number(spot) - 1) * 32768 + F.bitmap_bit_position(spot))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

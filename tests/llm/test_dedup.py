@@ -104,6 +104,12 @@ def test_near_duplicates_odd_tables(spark):
     assert near_duplicates(docs_of(spark, [None, ""])).count() == 2
 
 
+def test_near_duplicates_with_an_id_of_hash_zero(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    df = docs_of(spark, [text, text + " x", text + " y"], [25317696, 60270852, 7])
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(df).collect()} == {(25317696, 7), (60270852, 7), (7, 7)}
+
+
 def test_components_of_a_chain(spark):
     rng = random.Random(3)
     ends = list(range(200))
