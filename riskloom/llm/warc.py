@@ -117,39 +117,66 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
     return {"head": head, "block": block}, stop + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """The gzip member that starts at `at`, unpacked, and where it ends."""
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """The gzip member that starts at `at`, unpacked as far as it goes, where it ends, and what broke it, if anything."""
     unpack, out, view = zlib.decompressobj(31), [], memoryview(data)
-    stop = at
-    try:
-        while not unpack.eof and stop < len(data):
-            out.append(unpack.decompress(view[stop:stop + 65536]))
-            stop += min(65536, len(data) - stop)
-    except zlib.error as exc:
-        raise ValueError(f"gzip: {exc}") from exc
+    stop, step = at, 65536
+    while not unpack.eof and stop < len(data):
+        before = unpack.copy() if step > 1 else None
+        try:
+            out.append(unpack.decompress(view[stop:stop + step]))
+        except zlib.error as exc:
+            if before is None:
+                return b"".join(out), stop, f"gzip: {exc}"
+            unpack, step = before, 1  # byte by byte up to the error
+            continue
+        stop += min(step, len(data) - stop)
     if not unpack.eof:
-        raise ValueError("gzip: member is cut short")
-    return b"".join(out), stop - len(unpack.unused_data)
+        return b"".join(out), stop, "gzip: member is cut short"
+    return b"".join(out), stop - len(unpack.unused_data), ""
+
+
+def _inside(plain: bytes) -> Iterator[tuple[str, int, int, object]]:
+    """Like `salvage`, in unpacked bytes, where only version lines are searched."""
+    at, bad, reason = 0, None, ""
+    while at < len(plain):
+        try:
+            record, stop = _parse(plain, at)
+        except ValueError as exc:
+            if bad is None:
+                bad, reason = at, str(exc)
+            line = _VERSION_LINE.search(plain, at + 1)
+            at = line.start() if line else len(plain)
+            continue
+        if bad is not None:
+            yield "gap", bad, at, reason
+            bad = None
+        yield "record", at, stop, record
+        at = stop
+    if bad is not None:
+        yield "gap", bad, len(plain), reason
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
     """('record', start, end, record) for each good record and ('gap', start, end, reason) for each quarantined byte range.
 
     After a failed check the search goes on at the next gzip magic or version line behind the failed start, whichever
-    comes first and holds a good record; everything skipped until there is one gap.
+    comes first and holds a good record; everything skipped until there is one gap. A member that holds a good record is
+    searched for version lines in its unpacked bytes, as far as it can be unpacked; its records and gaps have the range
+    of the member, and a gap's reason tells the place in the unpacked bytes.
     """
     view, at, bad, reason = data, 0, None, ""
     while at < len(view):
+        broken = ""
         try:
             if view.startswith(_MAGIC, at):
-                plain, stop = _member(view, at)
-                found, inner = [], 0
-                while inner < len(plain):
-                    record, inner = _parse(plain, inner)
-                    found.append(record)
+                plain, stop, broken = _member(view, at)
+                found = list(_inside(plain))
+                if not any(kind == "record" for kind, *_ in found) and (found or broken):
+                    raise ValueError(broken or found[0][3])
             else:
                 record, stop = _parse(view, at)
-                found = [record]
+                found = [("record", at, stop, record)]
         except ValueError as exc:
             if bad is None:
                 bad, reason = at, str(exc)
@@ -160,8 +187,13 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
         if bad is not None and found:
             yield "gap", bad, at, reason
             bad = None
-        for record in found:
-            yield "record", at, stop, record
+        if broken:  # where the member would have ended is unknown: it reaches to where the search goes on
+            low = found.pop()[1] if found[-1][0] == "gap" else len(plain)
+            found.append(("gap", low, len(plain), broken))
+            member, line = view.find(_MAGIC, at + 1), _VERSION_LINE.search(view, at + 1)
+            stop = min([x for x in (member, line.start() if line else -1) if x >= 0], default=len(view))
+        for kind, low, high, what in found:
+            yield kind, at, stop, what if kind == "record" else f"{what} (unpacked bytes {low} to {high})"
         at = stop
     if bad is not None:
         yield "gap", bad, len(view), reason

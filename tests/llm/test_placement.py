@@ -191,3 +191,16 @@ def test_complements_of_one_two_and_three():
     assert [p.lengths for p in plan_sequences({50: 1, 30: 1, 20: 1}, 100)] == [(50, 30, 20)]
     assert [p.lengths for p in plan_sequences({40: 1, 30: 1, 20: 1, 10: 1}, 100)] == [(40, 30, 20, 10)]
     assert [p.lengths for p in plan_sequences({25: 4}, 100)] == [(25, 25, 25, 25)]
+
+
+def test_salvage_inside_a_member():
+    made = records(6)
+    bad = bytearray(made[2])
+    bad[-10] ^= 1
+    whole = warc._gzip(made[0] + made[1] + bytes(bad) + made[3])
+    found = list(warc.salvage(whole + warc._gzip(made[4])))
+    assert [x[0] for x in found] == ["record", "record", "gap", "record", "record"] and "unpacked bytes" in found[2][3]
+    noise = [warc.record_bytes(i, "http://x/", p, base64.b32encode(hashlib.sha1(p).digest()).decode()) for i, p in enumerate(random.Random(k).randbytes(40_000) for k in range(4))]
+    cut = warc._gzip(b"".join(noise))[:100_000]
+    found = list(warc.salvage(cut + warc._gzip(made[4])))
+    assert [x[0] for x in found] == ["record", "record", "gap", "record"]
