@@ -8,16 +8,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import licenses, packing, warc
+from riskloom.llm.alignment import Tokenizers, align_tokenizers
+from riskloom.llm.common import WHITE
 from riskloom.llm.decontaminate import leaks
 from riskloom.llm.exact_dedup import exact_groups
 from riskloom.llm.html_text import main_texts
+from riskloom.llm.languages import predict_languages
 from riskloom.llm.near_dup import near_duplicates
+from riskloom.llm.periods import collapse_runs
 from riskloom.llm.quality import quality_scores
 from riskloom.llm.sharding import assign_shards
 from riskloom.llm.toxicity import toxicity_scores
 from riskloom.session import scratch_path
 
-TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+TOKENIZER, RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +90,50 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = Tokenizers(*vocabulary(), public_tokenizers.path(PIECES))
+    return align_tokenizers(_table(spark, sf_dir, "documents"), files).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def planted_runs(doc_id: Column, text: Column) -> Column:
+    """The text; of every tenth document (by checksum of the id) the words from some place on repeat with some period."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+
+    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+        """A lambda's argument is computed once; an expression used inside a lambda would be, for every element."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        g = F.floor(h / 10)
+        law = F.struct((g % n).alias("a"), (1 + F.floor((n - g % n) / (3 + g % 8))).alias("p"))
+        places = F.sequence(F.lit(0).cast("long"), n - 1)
+        return F.when(n > 0, bound(law, lambda s: F.array_join(F.transform(
+            places, lambda i: F.get(words, F.when(i < s["a"], i).otherwise(s["a"] + (i - s["a"]) % s["p"]).cast("int"))), " "))).otherwise("")
+
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), WHITE), lambda w: w != "")
+    return F.when(h % 10 == 0, bound(words, repeated)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = collapse_runs(docs.select("doc_id", planted_runs(F.col("doc_id"), F.col("text")).alias("text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(_table(spark, sf_dir, "documents"))
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -135,7 +183,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": _pipeline,
     **{f.__name__: f for f in (
         op1_license_scan, op2_site_style_tree, op3_exact_dedup, op4_template_decontamination, op5_quality,
-        op6_minhash_near_dedup, op7_hash_tree_sharding, op8_warc, op9_toxicity, op10_best_fit_packing)},
+        op6_minhash_near_dedup, op7_hash_tree_sharding, op8_warc, op9_toxicity, op10_best_fit_packing,
+        op11_tokenizer_alignment, op12_periodic_runs, op13_ppm_language)},
 }
 
 ORACLE: dict[str, str] = {"op1_license_scan": _license_sql(), "op3_exact_dedup": _EXACT_SQL}
