@@ -23,9 +23,9 @@ from riskloom.llm.common import slices, text_or_empty
 from riskloom.session import materialize
 
 #: A block of postings ends after so many documents or bytes of text. Places in a block take 16 bits.
-BLOCK_ROWS, BLOCK_BYTES = 1 << 14, 24 << 20
-#: A worker remembers the alignment of so many different words.
-CACHE_WORDS = 400_000
+BLOCK_ROWS, BLOCK_BYTES = 1 << 14, 16 << 20
+#: A task remembers the alignment of so many different words.
+CACHE_WORDS = 200_000
 
 # Texts with white space other than single spaces and line ends inside are aligned whole, not word by word.
 _ODD = re.compile(r"[^\S \n]|  | \n|\n |^ | $|[\x1c-\x1f\x85]")
@@ -159,7 +159,7 @@ _ALIGNERS: dict[Tokenizers, Aligner] = {}
 
 
 def _aligner(files: Tokenizers) -> Aligner:
-    """One per worker process; what it has learned serves later tasks."""
+    """One per worker process."""
     if files not in _ALIGNERS:
         _ALIGNERS[files] = Aligner(files)
     return _ALIGNERS[files]
@@ -173,7 +173,7 @@ def _containers(block: int, plane: int, pairs: np.ndarray, places: np.ndarray, r
     dense = 2 * size > width
     for as_bits in (False, True):
         chosen = np.flatnonzero(dense == as_bits)
-        for part in np.array_split(chosen, max(1, -(-len(chosen) // (512 if as_bits else 200_000)))):
+        for part in np.array_split(chosen, max(1, -(-len(chosen) // (512 if as_bits else 50_000)))):
             if not len(part):
                 continue
             held = places[_gathered(first[part], size[part])]
@@ -215,7 +215,7 @@ class _Block:
         place = np.repeat(np.arange(self.rows, self.rows + len(ids), dtype=np.uint64), found.links)
         keys, times = np.unique(found.pairs.astype(np.uint64) << np.uint64(16) | place, return_counts=True)
         self.keys.append(keys)
-        self.times.append(times)
+        self.times.append(times.astype(np.uint32))
         self.rows += len(ids)
         self.bytes += size
 
@@ -229,6 +229,7 @@ class _Block:
         keys = np.concatenate(self.keys)
         order = np.argsort(keys, kind="stable")
         keys, more = keys[order], np.concatenate(self.times)[order] - 1
+        self.keys, self.times = [], []
         pairs, places = keys >> np.uint64(16), (keys & np.uint64(0xFFFF)).astype(np.uint16)
         plane, bits = 0, np.ones(len(keys), bool)
         while len(keys):
@@ -270,6 +271,7 @@ def pair_bitmaps(docs: DataFrame, files: Tokenizers, key: str = "doc_id", text:
                         number += 1
                         block = _Block(number, with_groups)
                     block.add(ids[part], Aligned(*[x[part] for x in found[:5]], cut, found.texts[part]), size)
+        aligner.forget()  # later stages run in the same workers
         if block.rows:
             yield from block.inverted()
 
@@ -300,7 +302,7 @@ def _scores(postings: pa.Table, counts: pa.Table, with_groups: bool) -> pa.Table
     total, chosen = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
     for dense in (False, True):
         some = postings.filter(pa.array((plane >= 0) & (postings.column("dense").to_numpy(zero_copy_only=False) == dense)))
-        for batch in some.to_batches(max_chunksize=512 if dense else 100_000):
+        for batch in some.to_batches(max_chunksize=64 if dense else 20_000):
             weight = np.left_shift(1, np.maximum(batch.column("plane").to_numpy().astype(np.int64) - 1, 0))
             at = np.searchsorted(pairs, batch.column("pair").to_numpy())
             bodies = batch.column("docs").to_pylist()
