@@ -14,23 +14,29 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import slices, text_or_empty
 from riskloom.session import materialize
 
-LEAST_PAGES = 8  # on a host with fewer pages an element keeps the importance that HTML suggests
 LEAST_IMPORTANCE = 0.6
 DECAY = 0.9
-#: What HTML suggests before any page is seen, and how many pages that counts for: by kind of element.
-PRIOR = {"noise": (0.0, 1000), "block": (0.7, 30), "other": (0.5, 30), "inside": (1.0, 30), "outside": (0.3, 30)}
+#: What HTML suggests before any page is seen, and how many pages that counts for: by kind of element. Elements that may
+#: be content start above LEAST_IMPORTANCE, so it takes evidence against them, on a host of any size, to cut them.
+PRIOR = {"noise": (0.0, 1000), "block": (0.7, 30), "other": (0.7, 30), "inside": (1.0, 30), "outside": (0.3, 30)}
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
                    "sub sup time tt u var wbr ruby rb rt rp".split())
-SILENT = frozenset("script style noscript template head iframe object svg canvas math audio video select option textarea button map".split())
-NOISE_TAGS = frozenset("nav footer aside form menu dialog fieldset header".split())
+#: Elements whose content is no text of the page. RAW ones hold no markup and run to the end of the page if never closed.
+RAW = frozenset("script style".split())
+SILENT = RAW | frozenset("noscript template iframe object svg canvas math audio video select datalist textarea button map".split())
+FOREIGN = frozenset("svg math".split())  # these may close themselves
+NOISE_TAGS = frozenset("nav footer aside form menu dialog fieldset header option optgroup".split())
 MAIN_TAGS = frozenset("article main".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split())
 NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
                         "breadcrumb breadcrumbs sidebar side aside footer header masthead topbar toolbar cookie cookies consent gdpr notice "
                         "notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended "
                         "comment comments reply replies respond disqus widget pagination pager skip copyright legal".split())
+#: Words that mark noise wherever they stand in a class name, whatever the element holds.
+STRONG_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsored cookie cookies consent gdpr newsletter share sharing "
+                         "social related recommended comment comments disqus".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
                       "hr main menu nav ol p pre section table ul".split())
 _CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -40,10 +46,14 @@ _BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "main", "outer", "children", "outside")
+    __slots__ = ("tag", "path", "up", "hard", "soft", "strong", "main", "outer", "children", "outside", "noise", "holds", "size")
 
-    def __init__(self, tag: str, path: str, noise: bool, main: bool, outer: bool = False):
-        self.tag, self.path, self.noise, self.main, self.outer, self.children, self.outside = tag, path, noise, main, outer, [], False
+    def __init__(self, tag: str, path: str, up: _Node | None = None, hard: bool = False, soft: bool = False, strong: bool = False,
+                 main: bool = False):
+        """`hard` noise by tag or role, `soft` by class names, `strong` by ones that leave no doubt."""
+        self.tag, self.path, self.up, self.hard, self.soft, self.strong, self.main = tag, path, up, hard, soft, strong, main
+        self.outer = main and not up.main
+        self.children, self.outside, self.noise, self.holds, self.size = [], False, False, False, 0
 
     @property
     def prior(self) -> str:
@@ -60,16 +70,25 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
+def _marks(named: str) -> list[list[str]]:
+    """The words of each class name."""
+    return [w for w in (re.findall("[a-z]+", re.sub("([a-z])([A-Z])", r"\1 \2", name).lower()) for name in named.split()) if w]
+
+
 class PageTree:
     """Block elements of one page as a tree, and its texts in page order with the element each belongs to.
 
-    Inline markup belongs to the block around it. Elements that HTML or their class names mark as menus, notices,
-    adverts and the like are presentation of importance 0 wherever they stand; the outermost `article` or `main` has
-    importance 1. Where such elements hold at least half of a page's text, HTML suggests that the rest lies outside.
+    Inline markup belongs to the block around it, but for what class names mark as adverts, share links and the like.
+    Elements that HTML or their class names mark as menus, notices, adverts and the like are presentation of importance
+    0 wherever they stand. Outside an `article` or `main` any word of a class name tells, inside it only a name's last
+    word does (and STRONG_WORDS anywhere). Class names that may mean the layout don't make noise of an element that
+    holds the outermost `article` or `main`, nor, on a page without one, of an element that holds half of the text. The
+    outermost `article` or `main` has importance 1. Where such elements hold at least half of a page's text, HTML
+    suggests that the rest lies outside.
     """
 
     def __init__(self):
-        self.root = _Node("", "", False, False)
+        self.root = _Node("", "")
         self.stack, self.blocks, self.open_text, self.silent = [self.root], [], [], ""
         self.nodes = [self.root]
 
@@ -92,13 +111,19 @@ class PageTree:
                 return
 
     def _start_tag(self, tag: str, attrs: str) -> None:
-        if tag in SILENT and tag != "head":
-            self.silent = tag
+        if tag in SILENT:
+            if not (tag in FOREIGN and attrs.rstrip().endswith("/")):
+                self.silent = tag
         elif tag == "br":
             self.open_text.append(" ")
         elif tag == "hr":
             self._end_block()
-        elif tag not in VOID and tag not in INLINE:
+        elif tag in INLINE:
+            if attrs and ("class" in attrs or "hidden" in attrs):
+                about = {n.lower(): v.strip("\"'") for n, v in _ATTRIBUTE.findall(attrs)}
+                if "hidden" in about or any(w in STRONG_WORDS for name in _marks(about.get("class", "")) for w in name):
+                    self.silent = tag
+        elif tag not in VOID:
             self._start(tag, {n.lower(): v.strip("\"'") for n, v in _ATTRIBUTE.findall(attrs)} if attrs else {})
 
     def _start(self, tag: str, about: dict[str, str]) -> None:
@@ -112,14 +137,19 @@ class PageTree:
             self._close_open(_CLOSES_SAME[tag], frozenset({"table"}) if tag in ("td", "th", "tr", "tbody") else _SCOPE)
         self._end_block()
         named = f"{about.get('class', '')} {about.get('id', '')}".strip()
-        marks = sorted(set(re.findall("[a-z]+", re.sub("([a-z])([A-Z])", r"\1 \2", named).lower()))) if named else []
+        names = _marks(named) if named else []
+        marks = sorted({w for name in names for w in name})
         up = self.stack[-1]
         role = about.get("role", "").lower()
         inside_title = tag == "header" and up.main
-        noise = up.noise or tag == "head" or (tag in NOISE_TAGS and not inside_title) or role in NOISE_ROLES or (
-            tag not in ("html", "body", "main") and any(m in NOISE_WORDS for m in marks)) or "hidden" in about
+        hard = tag == "head" or (tag in NOISE_TAGS and not inside_title) or role in NOISE_ROLES or "hidden" in about
+        soft = strong = False
+        if tag not in ("html", "body", "main"):
+            strong = any(m in STRONG_WORDS for m in marks)
+            telling = [name[-1] for name in names] if up.main else marks
+            soft = any(m in NOISE_WORDS and not (m == "header" and up.main) for m in telling)
         main = up.main or tag in MAIN_TAGS or role in ("main", "article")
-        node = _Node(tag, f"{up.path}/{tag}{'.' if marks else ''}{'.'.join(marks)}", noise, main, main and not up.main)
+        node = _Node(tag, f"{up.path}/{tag}{'.' if marks else ''}{'.'.join(marks)}", up, hard, soft, strong, main)
         up.children.append(node.path.rpartition("/")[2])
         self.stack.append(node)
         self.nodes.append(node)
@@ -140,9 +170,8 @@ class PageTree:
     def read(self, html: str) -> PageTree:
         at, end = 0, len(html)
         while at < end:
-            if self.silent:  # what these elements hold is no markup of the page
-                close = re.compile(rf"</{re.escape(self.silent)}\b[^>]*>", re.I).search(html, at)
-                self.silent, at = "", close.end() if close else end
+            if self.silent:  # what these elements hold is no text of the page
+                at = self._after_silent(html, at)
                 continue
             found = _TOKEN.match(html, at)
             at = found.end()
@@ -156,11 +185,38 @@ class PageTree:
                 else:
                     self._start_tag(tag.lower(), attrs)
         self._end_block()
+        self._judge()
+        return self
+
+    def _after_silent(self, html: str, at: int) -> int:
+        tag, self.silent = self.silent, ""
+        if tag in RAW:
+            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
+            return close.end() if close else len(html)
+        depth = 1
+        for found in re.compile(rf"<(/?){tag}\b[^>]*>", re.I).finditer(html, at):
+            depth += -1 if found[1] else not found[0].endswith("/>")
+            if not depth:
+                return found.end()
+        return at  # never closed: only the tag is passed over
+
+    def _judge(self) -> None:
+        """Which elements are noise, from the whole page."""
+        for node, text in self.blocks:
+            node.size += len(text)
+        for node in reversed(self.nodes):  # children come after their elements
+            if node.up is not None:
+                node.up.size += node.size
+                node.up.holds |= node.holds or (node.outer and not node.strong and not node.hard)
+        whole = self.root.size
+        has_main = self.root.holds
+        for node in self.nodes[1:]:
+            spared = node.holds or (node.outer and not node.hard) if has_main else 2 * node.size >= whole
+            node.noise = node.up.noise or node.hard or node.strong or (node.soft and not spared)
         within = sum(len(t) for n, t in self.blocks if n.main and not n.noise)
         if within and 2 * within >= sum(len(t) for n, t in self.blocks if not n.noise):
             for node in self.nodes:
                 node.outside = not node.main
-        return self
 
 
 def _hash(*parts: str) -> int:
@@ -245,7 +301,7 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     """
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), text_or_empty(F.col(html)).alias("html"))
     observed = materialize(observe(rows), "style-tree")
-    told = importance(observed).where(F.col("pages") >= LEAST_PAGES)
+    told = importance(observed)
     high = F.col("importance") >= LEAST_IMPORTANCE
     odd = told.where((F.col("prior") != "noise") & F.when(F.col("prior") == "outside", high).otherwise(~high))
     cut = materialize(odd.groupBy(F.col("host").alias("_host")).agg(
