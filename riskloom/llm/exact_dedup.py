@@ -51,4 +51,4 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def drop_exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     kept = exact_groups(docs, key, text).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(F.col("_kept_id")), "left_semi")
+    return docs.join(kept, docs[key].eqNullSafe(kept["_kept_id"]), "left_semi")

@@ -264,4 +264,4 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group, with all columns."""
     gone = near_duplicates(docs, key, text).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[key].eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, docs[key].eqNullSafe(gone["_gone"]), "left_anti")

@@ -205,4 +205,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 def drop_low_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that the classifier does not reject, with all their columns."""
     low = quality_scores(docs, labels, key, text).where("predicted = 0").select(F.col("doc_id").alias("_low")).distinct()
-    return docs.join(low, docs[key].eqNullSafe(F.col("_low")), "left_anti")
+    return docs.join(low, docs[key].eqNullSafe(low["_low"]), "left_anti")
