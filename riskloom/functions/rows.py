@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once.
+
+    An expression that is used several times, or inside a lambda, is computed as often; a lambda's own argument is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def compute_once(df: DataFrame, **cols: Column) -> DataFrame:
     """Add costly columns in a way that later filters do not repeat them.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riskloom.functions.rows import bound
+
 # White space as Unicode sees it (the `trim` of SQL only knows the blank).
 SPACE = r"[\s\p{Z}\x0B\x1C-\x1F\x85]"
 NOT_SPACE = r"[^\s\p{Z}\x0B\x1C-\x1F\x85]"
@@ -89,13 +91,25 @@ def visible_words(c: Column | str) -> Column:
 
 
 def char_grams(word: Column, low: int, high: int) -> Column:
-    """Character n-grams of one blank-padded word, as an array."""
-    padded = F.concat(F.lit(" "), word, F.lit(" "))
-    size = F.length(word) + 2
-    return F.flatten(F.transform(
-        F.sequence(F.lit(low), F.least(F.lit(high), size)),
-        lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(padded, i, n)),
-    ))
+    """Character n-grams of one blank-padded word, as an array. A word shorter than n has none of that size."""
+    def cut(padded: Column) -> Column:
+        return F.flatten(F.transform(
+            F.filter(F.sequence(F.lit(low), F.lit(high)), lambda n: n <= F.length(padded)),
+            lambda n: F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i: F.substring(padded, i, n)),
+        ))
+
+    return bound(F.concat(F.lit(" "), word, F.lit(" ")), cut)
+
+
+def counted(terms: Column) -> Column:
+    """(term, tf) of the different strings of an array, inside the row: sorted, then cut where neighbours differ."""
+    def runs(a: Column) -> Column:
+        places = F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)))
+        return bound(starts, lambda s: F.transform(s, lambda at, k: F.struct(
+            F.get(a, at).alias("term"), (F.coalesce(F.get(s, k + 1), F.size(a)) - at).cast("long").alias("tf"))))
+
+    return bound(F.sort_array(terms), runs)
 
 
 def digest(*cols: Column | str) -> Column:

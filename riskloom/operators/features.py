@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.numbers import sigmoid
-from riskloom.functions.text import pairs_of, visible_words, words
+from riskloom.functions.rows import bound
+from riskloom.functions.text import char_grams, counted, pairs_of, visible_words, words
 
 
 @dataclass(frozen=True)
@@ -33,46 +34,25 @@ WORD_SIMILARITY = Family("word", "word", 1, 2, max_df=None, max_features=None)
 CHAR_SIMILARITY = Family("char", "char", 3, 5, max_df=None, max_features=None)
 
 
-def _by_key(df: DataFrame, key: str) -> DataFrame:
-    """One shuffle of the raw texts; all counting per document then stays in place.
-
-    The number of partitions is stated, because a text grows many times when it
-    is cut into n-grams: partitions merged by the size of the texts would be
-    far too large.
-    """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-
-
-def _word_terms(rows: DataFrame, keys: Sequence[str], text: str, low: int, high: int) -> DataFrame:
-    if not 1 <= low <= high <= 2:
-        raise ValueError("word n-grams are built for n = 1 and 2")
-    tokens = rows.select(*keys, words(text).alias("_w"))
-    singles, pairs = F.col("_w"), pairs_of(F.col("_w"))
-    grams = {(1, 1): singles, (2, 2): pairs, (1, 2): F.concat(singles, pairs)}[(low, high)]
-    return tokens.select(*keys, F.explode(grams).alias("term")).groupBy(*keys, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+def terms_of(family: Family, text: str) -> Column:
+    """All terms of a text, repeated as often as they occur."""
+    if family.kind == "word":
+        if not 1 <= family.low <= family.high <= 2:
+            raise ValueError("word n-grams are built for n = 1 and 2")
+        if family.high == 1:
+            return words(text)
+        return bound(words(text), lambda w: F.concat(w, pairs_of(w)) if family.low == 1 else pairs_of(w))
+    return F.flatten(F.transform(visible_words(text), lambda w: char_grams(w, family.low, family.high)))
 
 
-def _char_terms(rows: DataFrame, keys: Sequence[str], text: str, low: int, high: int) -> DataFrame:
-    """n-grams inside blank-padded words; a word shorter than n has none of that size.
+def doc_terms(df: DataFrame, family: Family, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carried columns, term, tf) of every row, counted inside the row: no text and no term is shuffled for it.
 
-    Equal words of a document are counted first, so each is cut up once.
+    A text's terms are in memory at once, so a task needs as much as its longest text has.
     """
-    counted = (
-        rows.select(*keys, F.explode(visible_words(text)).alias("_w"))
-        .groupBy(*keys, "_w").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    padded = counted.select(*keys, "_n", F.concat(F.lit(" "), "_w", F.lit(" ")).alias("_p")).withColumn("_l", F.length("_p"))
-    sizes = padded.select(*keys, "_n", "_p", "_l", F.explode(F.sequence(F.lit(low), F.least(F.lit(high), "_l"))).alias("_s"))
-    starts = sizes.select(*keys, "_n", "_p", "_s", F.explode(F.sequence(F.lit(1), F.col("_l") - F.col("_s") + 1)).alias("_i"))
-    return starts.groupBy(*keys, F.substring("_p", F.col("_i"), F.col("_s")).alias("term")).agg(F.sum("_n").alias("tf"))
-
-
-def doc_terms(df: DataFrame, family: Family, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
-    """(key, carried columns, term, tf) of every document."""
-    rows = _by_key(df.select(key, *carry, text), key)
-    build = _word_terms if family.kind == "word" else _char_terms
-    return build(rows, [key, *carry], text, family.low, family.high)
+    # the outer form keeps the optimizer from testing for terms beforehand, which would count them twice
+    rows = df.select(key, *carry, counted(terms_of(family, text)).alias("_t")).select(key, *carry, F.inline_outer("_t"))
+    return rows.where("term is not null")
 
 
 def word_ngrams(df: DataFrame, key: str, text: str, low: int = 1, high: int = 2) -> DataFrame:
@@ -130,13 +110,11 @@ def feature_union(*blocks: tuple[str, DataFrame]) -> DataFrame:
 FAMILIES_BY_NAME = {"word": WORD, "char": CHAR}
 
 
-def score_linear(df: DataFrame, model, key: str, text: str, out: str = "score") -> DataFrame:
-    """Probability of the positive class for every row of ``df``.
+def score_linear_joined(df: DataFrame, model, key: str, text: str, out: str = "score") -> DataFrame:
+    """Probability of the positive class by joining terms with weights, for models too large to broadcast.
 
-    The weights may come from a stored model of any size, so whether they are
-    broadcast is left to their measured size; per family one aggregate gives both the weighted sum and the length of the document
-    vector. Terms, sums and the join back to the rows all use the one
-    partitioning by ``key``. A text without known terms gets the intercept.
+    Per family one aggregate gives both the weighted sum and the length of the document vector. Only keys, terms and
+    counts are shuffled until the sums go back to the rows. A text without known terms gets the intercept.
     """
     sums = None
     for name in sorted(model.meta.get("families", "word,char").split(",")):
@@ -149,5 +127,4 @@ def score_linear(df: DataFrame, model, key: str, text: str, out: str = "score")
         )
         sums = part if sums is None else sums.unionByName(part)
     z = sums.groupBy(key).agg(F.sum("_z").alias("_z"))
-    joined = _by_key(df, key).join(z, key, "left")
-    return joined.withColumn(out, sigmoid(F.coalesce("_z", F.lit(0.0)) + F.lit(float(model.intercept)))).drop("_z")
+    return df.join(z, key, "left").withColumn(out, sigmoid(F.coalesce("_z", F.lit(0.0)) + F.lit(float(model.intercept)))).drop("_z")

@@ -62,7 +62,7 @@ def score_items(
     resolved = resolve_entity(items) if aliases is None else resolve_entity(items, aliases)
     if model is None:
         return apply_threshold(keyword_risk_score(resolved, weights), threshold)
-    from riskloom.operators.features import score_linear
+    from riskloom.operators.linear import score_linear
 
     scored = score_linear(resolved.withColumn("model_text", model_text()), model, key="id", text="model_text")
     return apply_threshold(scored.drop("model_text"), model.threshold, model.model_name)

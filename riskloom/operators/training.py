@@ -18,21 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from riskloom.constants import ALERT_THRESHOLD, ALPHA_GRID, C_GRID, LINEAR_MODEL
-from riskloom.functions.text import char_grams, pairs_of, visible_words, words
 from riskloom.operators.evaluation import best_grid_row, binary_metrics, ranking_metrics
-from riskloom.operators.features import CHAR, WORD, Family, doc_terms, document_count, fit_vocabulary
+from riskloom.operators.features import CHAR, WORD, Family, doc_terms, document_count, fit_vocabulary, terms_of
 from riskloom.operators.solver import LinearFit, fit_binary, fit_classes, hold_features, with_margins
 from riskloom.operators.teacher import with_soft_labels
 from riskloom.sources.tables import LinearModel
 
 
-def _tokens(family: Family, text: str):
-    if family.kind == "word":
-        w = words(text)
-        return F.concat(w, pairs_of(w)) if family.high == 2 else w
-    return F.flatten(F.transform(visible_words(text), lambda w: char_grams(w, family.low, family.high)))
-
-
 def unnamed(df: DataFrame, column: str) -> DataFrame:
     """Drop the per-feature names Spark ML keeps in the column metadata.
 
@@ -61,7 +53,7 @@ class Vectoriser:
             counts = CountVectorizerModel.from_vocabulary(self.terms[f.name], inputCol=tok, outputCol=tf)
             weigh = ElementwiseProduct(scalingVec=Vectors.dense(self.idf[f.name]), inputCol=tf, outputCol=raw)
             scale = Normalizer(p=2.0, inputCol=raw, outputCol=unit)
-            out = scale.transform(weigh.transform(counts.transform(out.withColumn(tok, _tokens(f, text)))))
+            out = scale.transform(weigh.transform(counts.transform(out.withColumn(tok, terms_of(f, text)))))
             out = out.drop(tok, tf, raw)
             parts.append(unit)
         out = out.withColumn("_one", F.lit(1.0))

@@ -68,6 +68,14 @@ class Views:
     def predictions(self) -> DataFrame:
         return predictions(self.scored_items)
 
+    @cached_property
+    def texts(self) -> DataFrame:
+        """All documents, split by story."""
+        spot = hash_bucket(F.md5("title"), 20)
+        return self.resolved.select(
+            F.col("id").alias("sample_id"), "title", "entity_norm", "text_fragment",
+            F.when(spot < 14, "train").when(spot < 17, "valid").otherwise("test").alias("split"))
+
     def _labelled(self, split_key: str) -> DataFrame:
         docs = find_risk_keywords(self.resolved, list(WEIGHTS), title_and_fragment())
         day = F.to_date("published_at")

@@ -32,6 +32,12 @@ SELECT r.id AS sample_id, md5(r.title) AS event_group_id,
 FROM v_resolved r JOIN labels l ON l.doc_id = r.id JOIN v_keywords k ON k.id = r.id"""
 
 
+_TEXTS = """
+SELECT r.id AS sample_id, r.title, r.entity_norm, r.text_fragment,
+  CASE WHEN ('0x' || substr(md5(md5(r.title)), 1, 7))::BIGINT % 20 < 14 THEN 'train'
+       WHEN ('0x' || substr(md5(md5(r.title)), 1, 7))::BIGINT % 20 < 17 THEN 'valid' ELSE 'test' END AS split
+FROM v_resolved r"""
+
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "aliases(entity, alias, rnk)": ((), "VALUES " + _values(
         (_q(e), _q(a), i) for i, (e, xs) in enumerate(ALIASES.items()) for a in xs)),
@@ -67,6 +73,7 @@ FROM v_resolved r JOIN (
 SELECT id AS news_item_id, batch_id, user_id, risk_score, alert_flag, model_name, threshold FROM v_scored_items"""),
     "v_labelled": (("v_resolved", "v_keywords"), _labelled("md5(md5(r.title))")),
     "v_labelled_leaky": (("v_resolved", "v_keywords"), _labelled("md5(CAST(r.id AS VARCHAR))")),
+    "v_texts": (("v_resolved",), _TEXTS),
     "v_teacher": ((), """
 SELECT doc_id AS sample_id,
   CAST(CASE WHEN doc_id % 37 = 0 THEN -1 WHEN doc_id % 10 = 0 THEN 1 - toxic ELSE toxic END AS INTEGER) AS teacher_label,
