@@ -68,9 +68,9 @@ def score_items(
     return apply_threshold(scored.drop("model_text"), model.threshold, model.model_name)
 
 
-def predictions(scored: DataFrame) -> DataFrame:
+def predictions(scored: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return scored.select(
-        F.col("id").alias("news_item_id"), "batch_id", "user_id", "risk_score", "alert_flag", "model_name", "threshold",
+        F.col("id").alias("news_item_id"), "batch_id", "user_id", "risk_score", "alert_flag", "model_name", "threshold", *carry,
     )
 
 

@@ -116,12 +116,29 @@ def _first_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
     return {r.f: r.value for r in lines.collect()}  # one line per file of a step
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds `_place`, the number of a row in its file. A file with quoted line ends is read by one task, in order."""
+    at = rows.columns.index("stored_path")
+
+    def number(batches):
+        seen: dict[str, int] = {}
+        for batch in batches:
+            places = []
+            for f in batch.column(at).to_pylist():
+                places.append(seen.get(f, 0))
+                seen[f] = places[-1] + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64())], names=[*batch.schema.names, "_place"])
+
+    schema = ", ".join([*[f"`{n}` {t}" for n, t in rows.dtypes], "_place long"])
+    return rows.mapInArrow(number, schema)
+
+
 def read_by_header(spark: SparkSession, files: Sequence[str], schema) -> tuple[DataFrame | None, list[str], dict[str, str]]:
     """Rows of CSV files, each file's columns found by its own header: (rows, absent optional columns, errors by file).
 
     Files of equal header are read together. Unknown columns are left out, absent optional ones are null. A file
     without a header or without a required column gives no rows and an error that names it. Ids that the files leave out
-    are given from the file and the row's content.
+    are given from the file, the row's place in it and its content, so equal rows are different items.
     """
     headers: dict[tuple[str, ...], list[str]] = {}
     errors: dict[str, str] = {}
@@ -149,7 +166,7 @@ def read_by_header(spark: SparkSession, files: Sequence[str], schema) -> tuple[D
         part = raw.select(*columns, F.col("_metadata.file_path").alias("stored_path"))
         if "id" not in names:
             content = [c for c in part.columns if c != "id"]
-            part = part.withColumn("id", F.xxhash64(*content).bitwiseAND(F.lit((1 << 62) - 1)))
+            part = _numbered(part).withColumn("id", F.xxhash64("_place", *content).bitwiseAND(F.lit((1 << 62) - 1))).drop("_place")
         parts.append(part)
     out = None
     for part in parts:

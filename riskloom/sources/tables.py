@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -48,19 +47,6 @@ def replace_batches(df: DataFrame, root: str, name: str) -> None:
     )
 
 
-def clear_batches(spark: SparkSession, root: str, name: str, batches: Sequence[str]) -> None:
-    """Drop the stored partitions of the named batches, also of those that the next write leaves without rows."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(path):
-        return
-    wanted = set(batches)
-    for found in store.listStatus(path):
-        folder = found.getPath().getName()
-        if folder.startswith("batch_id=") and unquote(folder.removeprefix("batch_id=")) in wanted:
-            store.delete(found.getPath(), True)
-
-
 def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer = df.write.mode("overwrite")
     if fmt == "csv":

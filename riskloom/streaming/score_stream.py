@@ -1,16 +1,18 @@
 """Scoring of landing files as a stream.
 
-Files of a batch lie in `batch_id=<name>/` below the landing folder. Every
-micro-batch is validated, given entities, scored and written by `batch_id`.
-There is no state between micro-batches: a batch is replaced as a whole when
-it is written again, so retries and restarts never leave duplicates.
+Files of a batch lie in `batch_id=<name>/` below the landing folder. A step reads the files that it brings and no others,
+validates, scores and writes them, and then records them in the manifests of their batches (`sources/store.py`). A batch's
+manifest is its ledger: every file with the step that read it, its rows and its error. A file that comes again, in a
+retried step or a new stream, takes the place of its earlier rows, so nothing is stored twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import hashlib
+from collections.abc import Callable, Mapping
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
@@ -20,8 +22,9 @@ from riskloom.operators.items import normalise_items
 from riskloom.operators.scoring import predictions, score_items
 from riskloom.schemas import LANDING_ITEM
 from riskloom.session import materialize
+from riskloom.sources import store
 from riskloom.sources.csv_files import _unescaped, batch_of_file, null_tokens, read_by_header, reject_reason
-from riskloom.sources.tables import clear_batches
+from riskloom.sources.tables import load_model
 
 STATUS = StructType([
     StructField("batch_id", StringType()), StructField("status", StringType()),
@@ -44,86 +47,92 @@ def landing_stream(spark: SparkSession, landing: str, files_per_step: int | None
         "batch_id", batch_of_file("stored_path"))
 
 
-def _batch_files(spark: SparkSession, landing: str, names: list[str]) -> dict[str, list[str]]:
-    """All files of the named batches.
-
-    A step may bring only a part of the files of a batch. Since a batch is
-    replaced as a whole, it is always rebuilt from all its files.
-    """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").load(landing)
-    named = listed.select(_unescaped(F.col("_metadata.file_path")).alias("f"), batch_of_file().alias("b"))
-    found: dict[str, list[str]] = {n: [] for n in names}
-    for r in named.where(F.col("b").isin(names)).orderBy("f").collect():
-        found[r.b].append(r.f)
-    return found
-
-
-def _append_status(spark: SparkSession, out: str, names: list[str], status: str, error: str | None = None) -> None:
-    rows = spark.createDataFrame([(n,) for n in names], "batch_id string").select(
-        "batch_id", F.lit(status).alias("status"), F.current_timestamp().alias("changed_at"),
-        F.lit(error).cast("string").alias("error_message"))
+def _append_status(spark: SparkSession, out: str, states: list[tuple[str, str, str | None]]) -> None:
+    """One small file for all batches of a step: (batch, status, error)."""
+    rows = spark.createDataFrame(states, "batch_id string, status string, error_message string").select(
+        "batch_id", "status", F.current_timestamp().alias("changed_at"), "error_message")
     rows.coalesce(1).write.mode("append").parquet(f"{out}/batch_status")
 
 
-def score_batch(
-    rows: DataFrame, out: str, aliases=ENTITY_ALIASES, weights: Mapping[str, float] = RISK_TERM_WEIGHTS,
-    threshold: float = ALERT_THRESHOLD, scorer: Callable[[DataFrame], DataFrame] | None = None, batches: Sequence[str] = (),
-) -> None:
-    """Validate, score and store the rows of one or more whole batches.
+def _file_id(path) -> Column:
+    return F.md5(path)
 
-    Whatever is stored of the named batches goes first, so nothing stale is left of a batch that now has fewer rows.
-    """
-    checked = null_tokens(rows.drop("batch_id")).columns
-    marked = null_tokens(rows, [c for c in checked if dict(rows.dtypes)[c] == "string"]).withColumn(
-        "reject_reason", reject_reason())
+
+def _tables(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """Items, predictions and rejected rows of checked rows; scored once for both tables."""
+    texts = [c for c, t in rows.dtypes if t == "string" and c not in ("batch_id", "file_id")]
+    marked = null_tokens(rows, texts).withColumn("reject_reason", reject_reason())
     valid = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejected = marked.filter(F.col("reject_reason").isNotNull())
-    scored = scorer(valid) if scorer is not None else score_items(valid, aliases, weights, threshold)
-    scored = materialize(scored, "scored")  # scored once for both tables, and before anything stored is dropped
-    for name, table in (("news_items", normalise_items(scored)), ("prediction_results", predictions(scored)), ("rejected_rows", rejected)):
-        clear_batches(rows.sparkSession, out, name, batches)
-        table.write.mode("append").partitionBy("batch_id").parquet(f"{out}/{name}")
+    scored = materialize(scorer(valid), "scored")
+    items = normalise_items(scored, ("id", "batch_id", "user_id", "file_id"))
+    return {"news_items": items, "prediction_results": predictions(scored, ["file_id"]), "rejected_rows": rejected}
 
 
 def score_stream(
     spark: SparkSession, landing: str, out: str, checkpoint: str, aliases=ENTITY_ALIASES,
     weights: Mapping[str, float] = RISK_TERM_WEIGHTS, threshold: float = ALERT_THRESHOLD,
-    scorer: Callable[[DataFrame], DataFrame] | None = None, files_per_step: int = 1000,
+    scorer: Callable[[DataFrame], DataFrame] | None = None, files_per_step: int = 1000, model_path: str | None = None,
+    uploaders: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start the scoring stream over everything that has landed so far.
 
-    Files are read by their headers: columns in any order, unknown ones left out, absent optional ones null. A batch
-    with an unusable file is marked `failed` with the reason. A step that cannot be scored does not stop the stream:
-    its batches are tried one at a time, and only those that fail themselves are marked `failed` with the message;
-    their files stay where they are for a later try.
+    Files are read by their headers: columns in any order, unknown ones left out, absent optional ones null. A model
+    stored at ``model_path`` scores; as long as there is none, keywords do. Each step looks again, so a new model takes
+    over without a restart. ``uploaders`` gives (batch_id, user_id) for rows that name no user.
+
+    An unusable file marks its batch `failed` with the reason, the batch's other files are scored. A step that cannot be
+    scored does not stop the stream: its batches are tried one at a time, and only those that fail themselves are marked
+    `failed` with the message; their files stay where they are for a later try.
     """
 
-    def score(session: SparkSession, files: dict[str, list[str]]) -> None:
+    def scored(rows: DataFrame) -> DataFrame:
+        if scorer is not None:
+            return scorer(rows)
+        model = load_model(rows.sparkSession, model_path) if model_path else None
+        return score_items(rows, aliases, weights, threshold, model)
+
+    def score(session: SparkSession, files: dict[str, list[str]], epoch: int) -> None:
         rows, _, errors = read_by_header(session, [f for group in files.values() for f in group], LANDING_ITEM)
-        failed = {name: "; ".join(errors[f] for f in group if f in errors) for name, group in files.items()}
-        good = [name for name, why in failed.items() if not why]
-        if good:
-            score_batch(rows.where(F.col("batch_id").isin(good)).drop("stored_path"), out, aliases, weights, threshold, scorer, good)
-            _append_status(session, out, good, "completed")
-        for name, why in failed.items():
-            if why:
-                _append_status(session, out, [name], "failed", why)
-
-    def step(rows: DataFrame, _epoch: int) -> None:
+        counts = {}
+        if rows is not None:
+            rows = rows.withColumn("file_id", _file_id(_unescaped(F.col("stored_path")))).drop("stored_path")
+            if uploaders is not None:
+                named = uploaders().select(F.col("batch_id").alias("_b"), F.col("user_id").alias("_u"))
+                rows = rows.join(named, F.col("batch_id") == F.col("_b"), "left").withColumn("user_id", F.coalesce("user_id", "_u")).drop("_b", "_u")
+            counts = store.write_files(_tables(rows, scored), out)
+        states = []
+        for batch, group in files.items():
+            ids = dict(zip(group, _ids_of(group)))
+            states.append(_record(session, batch, {ids[f]: {
+                "path": f, "epoch": epoch, "at": _now(), "rows": counts.get((batch, ids[f]), {}), "error": errors.get(f)}
+                for f in group}))
+        _append_status(session, out, states)
+
+    def _record(session: SparkSession, batch: str, entries: dict[str, dict]) -> tuple[str, str, str | None]:
+        everything = store.record_files(session, out, batch, entries)
+        why = "; ".join(e["error"] for e in everything.values() if e.get("error"))
+        return batch, "failed" if why else "completed", why or None
+
+    def step(rows: DataFrame, epoch: int) -> None:
         session = rows.sparkSession
-        names = [r[0] for r in rows.select("batch_id").distinct().collect()]  # bounded by files_per_step
-        if not names:
+        files: dict[str, list[str]] = {}
+        listed = rows.select("batch_id", _unescaped(F.col("stored_path")).alias("f")).orderBy("f")
+        for r in listed.collect():  # bounded by files_per_step
+            files.setdefault(r.batch_id, []).append(r.f)
+        if not files:
             return
-        files = _batch_files(session, landing, names)
-        _append_status(session, out, names, "processing")
+        _append_status(session, out, [(b, "processing", None) for b in files])
         try:
-            score(session, files)
+            score(session, files, epoch)
         except Exception:
-            for name in names:
+            for batch, group in files.items():
                 try:
-                    score(session, {name: files[name]})
-                except Exception as exc:  # a poison batch is recorded, the stream goes on
-                    _append_status(session, out, [name], "failed", str(exc))
+                    score(session, {batch: group}, epoch)
+                except Exception as exc:  # a poison batch is recorded, the stream goes on; rows stored earlier stay
+                    old = store.manifest(session, out, batch)[1].get("files", {})
+                    _append_status(session, out, [_record(session, batch, {
+                        i: {**old.get(i, {}), "path": f, "epoch": epoch, "at": _now(), "error": str(exc)} for f, i in zip(group, _ids_of(group))})])
 
     return (
         landing_stream(spark, landing, files_per_step).writeStream.foreachBatch(step)
@@ -131,6 +140,36 @@ def score_stream(
     )
 
 
+def _ids_of(files: list[str]) -> list[str]:
+    return [hashlib.md5(f.encode()).hexdigest() for f in files]
+
+
+def _now() -> str:
+    return datetime.now(timezone.utc).isoformat()
+
+
+STORED = {
+    "news_items": "id long, batch_id string, user_id long, source string, url string, published_at string, title string, text_fragment string, "
+                  "entity_norm string",
+    "prediction_results": "news_item_id long, batch_id string, user_id long, risk_score double, alert_flag int, model_name string, threshold double",
+    "rejected_rows": "id long, batch_id string, user_id long, title string, text_fragment string, reject_reason string",
+}
+
+
+def stored_rows(spark: SparkSession, out: str, table: str, batches=None) -> DataFrame:
+    """What the stream has stored, of some batches or of all."""
+    return store.read_files(spark, out, table, STORED[table], batches)
+
+
+def batch_totals(spark: SparkSession, out: str) -> DataFrame:
+    """(batch_id, files, total_items, rejected, processed_at, status, error_message) from the ledger."""
+    return store.file_ledger(spark, out).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("items").alias("total_items"), F.sum("rejected").alias("rejected"),
+        F.max("processed_at").alias("processed_at"),
+        F.when(F.count("error_message") > 0, "failed").otherwise("completed").alias("status"),
+        F.nullif(F.concat_ws("; ", F.sort_array(F.collect_set("error_message"))), F.lit("")).alias("error_message"))
+
+
 def batch_states(spark: SparkSession, out: str) -> DataFrame:
     """Latest status of every batch."""
     log = spark.read.schema(STATUS).parquet(f"{out}/batch_status")
@@ -150,6 +189,9 @@ def alert_counts_by_day(alerts: DataFrame, at: str = "ts", late: str = "1 hour")
 
 def land_items(items: DataFrame, landing: str) -> None:
     """Write items as landing CSV files, one folder per batch."""
-    cols = [f.name for f in LANDING_ITEM.fields]
-    items.select(*cols, "batch_id").write.mode("append").partitionBy("batch_id").options(
+    write_landing(items.select(*[f.name for f in LANDING_ITEM.fields], "batch_id"), landing)
+
+
+def write_landing(rows: DataFrame, landing: str) -> None:
+    rows.write.mode("append").partitionBy("batch_id").options(
         header="true", quote='"', escape='"', emptyValue="", nullValue="").csv(landing)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import features as X
+from riskloom.operators import linear as L
 from riskloom.operators import training as R
 from riskloom.streaming import score_stream as SS
 
@@ -24,12 +25,12 @@ def test_weights_table_scores_like_the_fitted_model(spark):
     model = R.fit_logreg(feats, C=2.0, balanced=True)
     want = {r.sample_id: r.score for r in R.with_scores(model, feats).collect()}
     linear = R.to_linear_model(spark, model, vec)
-    got = {r.sample_id: r.score for r in X.score_linear(df, linear, "sample_id", "model_text").collect()}
+    got = {r.sample_id: r.score for r in L.score_linear(df, linear, "sample_id", "model_text").collect()}
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
     unknown = spark.createDataFrame([(1, "zzz"), (2, None)], "sample_id long, model_text string")
     sig = 1 / (1 + np.exp(-linear.intercept))
-    assert [r.score for r in X.score_linear(unknown, linear, "sample_id", "model_text").collect()] == [pytest.approx(sig)] * 2
+    assert [r.score for r in L.score_linear(unknown, linear, "sample_id", "model_text").collect()] == [pytest.approx(sig)] * 2
 
 
 def test_fit_reaches_the_optimum(spark):
@@ -63,9 +64,9 @@ def test_stream_replaces_whole_batches_and_keeps_rejects(spark, tmp_path):
     run(spark, tmp_path, files_per_step=1)
     SS.land_items(items(spark, [(4, 1, "a", "ВТБ", "ещё новость")]), str(tmp_path / "in"))   # late file of batch a
     run(spark, tmp_path)
-    got = spark.read.parquet(str(tmp_path / "out/prediction_results"))
+    got = SS.stored_rows(spark, str(tmp_path / "out"), "prediction_results")
     assert sorted((r.batch_id, r.news_item_id, r.alert_flag) for r in got.collect()) == [("a", 1, 1), ("a", 2, 0), ("a", 4, 0)]
-    rejected = spark.read.parquet(str(tmp_path / "out/rejected_rows")).collect()
+    rejected = SS.stored_rows(spark, str(tmp_path / "out"), "rejected_rows").collect()
     assert [(r.id, r.reject_reason) for r in rejected] == [(3, "title")]
 
 
@@ -100,7 +101,7 @@ def test_uploads_are_read_by_their_header(spark, tmp_path):
     states = {r.batch_id: (r.status, r.error_message) for r in SS.batch_states(spark, str(tmp_path / "out")).collect()}
     done = ("completed", None)
     assert states == {"7": done, "007": done, "a:b": done, "flat": done, "none": ("failed", "missing required columns: title")}
-    items = spark.read.schema("id long, title string, text_fragment string, source string, batch_id string").parquet(str(tmp_path / "out/news_items"))
+    items = SS.stored_rows(spark, str(tmp_path / "out"), "news_items")
     got = sorted((r.batch_id, r.title, r.text_fragment, r.source) for r in items.collect())
     assert [g[0] for g in got] == ["007", "7", "7", "a:b", "flat"]
     assert got[1][1:] == ("T", "two\nlines", None) and got[2][1:] == ("Суд", "иск", "x")
@@ -114,9 +115,8 @@ def test_nothing_stale_is_left_of_a_replaced_batch(spark, tmp_path):
     (land / "1.csv").write_text("title,text_fragment\n ,day\n")
     run(spark, tmp_path)
     out = str(tmp_path / "out")
-    kinds = "news_item_id long, batch_id string"
-    assert spark.read.schema(kinds).parquet(f"{out}/prediction_results").count() == 0
-    assert spark.read.parquet(f"{out}/rejected_rows").count() == 1
+    assert SS.stored_rows(spark, out, "prediction_results").count() == 0
+    assert SS.stored_rows(spark, out, "rejected_rows").count() == 1
 
 
 def test_control_messages(spark):
