@@ -14,7 +14,7 @@ from riskloom.session import materialize
 
 #: Shingles of so many words; links from so many per cent of similarity.
 WORDS, PER_CENT = 4, 80
-#: A pair of similarity 0.8 agrees in fewer than MATCHES of COORDINATES coordinates once in about 500,000 cases.
+#: A pair of similarity 0.8 agrees in fewer than MATCHES of COORDINATES coordinates once in about 800,000 cases.
 COORDINATES, MATCHES = 32, 14
 
 _RNG = np.random.default_rng(20240)
@@ -90,24 +90,40 @@ def _with_matches(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(rows, "a long, b long")
 
 
-#: Bits of the filter that picks texts by id: its size is fixed, with more ids it only lets more texts through.
-FILTER_BITS = 1 << 24
+#: Bits per id of the filter that picks texts by id, and its size in bits at most; for more ids texts are joined by id.
+BITS_PER_ID, MOST_BITS = 16, 1 << 27
+#: Rows of one shingle that are compared with each other in one task.
+BLOCK = 2_000
 
 
 def _sets_of(ids: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """(id, set) for the ids of a one-column table, and for a few others.
 
-    Texts are not shuffled for it: a bitmap of hashed ids, of fixed size, goes to the tasks that scan them.
+    Up to MOST_BITS / BITS_PER_ID ids, texts are not shuffled for it: a bitmap of hashed ids, sized by their number, goes
+    to the tasks that scan the texts. More ids than that meet the texts in a join.
     """
-    bit = F.pmod(F.xxhash64(ids.columns[0]), F.lit(FILTER_BITS)) + 1
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(F.col(text)).alias("text")).where("doc_id is not null")
+    ids = ids.where(F.col(ids.columns[0]).isNotNull()).distinct()
+    count = ids.count()
+    if count * BITS_PER_ID > MOST_BITS:
+        wanted = materialize(ids, "wanted")
+        joined = rows.join(wanted, rows["doc_id"] == wanted[wanted.columns[0]], "left_semi")
+
+        def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                found = [s.tobytes() for s in shingle_sets(batch.column(1), words)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
+
+        return materialize(joined.mapInArrow(every, "id long, set binary"), "shingle-sets")
+    filter_bits = 1 << max(20, (count * BITS_PER_ID - 1).bit_length())
+    bit = F.pmod(F.xxhash64(ids.columns[0]), F.lit(filter_bits)) + 1
     parts = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
-    bits = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
+    bits = np.zeros(filter_bits // 8 + 4096, np.uint8)
     for r in parts:
         bits[(r["part"] - 1) * 4096:r["part"] * 4096] = np.frombuffer(r["bits"], np.uint8)
     # bits and buckets count from 1 (a bit 0 would lie in a bucket 0); a bucket number tells the same position for a bit wherever it is asked
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(F.col(text)).alias("text")).where("doc_id is not null")
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(filter_bits)) + 1
     rows = rows.withColumn("spot", (F.bitmap_bucket_number(spot) - 1) * 32768 + F.bitmap_bit_position(spot))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,12 +178,21 @@ def _crossing_pairs(suspects: DataFrame, held: DataFrame, per_cent: int) -> Data
     first = shared.withColumn("place", place).where(
         (F.col("all") * 100 >= F.col("n") * per_cent) & (F.col("place") * 100 <= F.col("n") * (100 - per_cent)))
     first = materialize(first.select("shingle", "rep", "n", "of", "place"), "prefix")
-    left = first.select("shingle", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"), F.col("place").alias("pa"))
-    right = first.select("shingle", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"), F.col("place").alias("pb"))
+    # the rows of a frequent shingle are dealt over pairs of blocks, so that no task compares all of them
+    hot = first.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > BLOCK)
+    hot = materialize(hot.select(F.col("shingle").alias("hot"), F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "hot-shingles")
+    cut = first.join(hot, F.col("shingle") == F.col("hot"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    left = cut.select("shingle", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"),
+                      F.col("rep").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"), F.col("place").alias("pa"))
+    right = cut.select(F.col("shingle").alias("s"), F.explode(F.sequence(F.lit(0), "own")).alias("k"), F.col("own").alias("l"),
+                       F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"), F.col("place").alias("pb"))
     most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     enough = most * (100 + per_cent) >= (F.col("na") + F.col("nb")) * per_cent
-    met = left.join(right, (left["shingle"] == right["shingle"]) & (F.col("a") < F.col("b")) & (F.col("oa") != F.col("ob")) & enough)
-    return met.select("a", "b").distinct()
+    same = (F.col("shingle") == F.col("s")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l"))
+    once = (F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))
+    met = left.join(right, same & once & (F.col("oa") != F.col("ob")) & enough)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

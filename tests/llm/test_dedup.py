@@ -117,3 +117,22 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([*zip(ends, ends[1:]), (900, 901)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**dict.fromkeys(range(200), 0), 900: 900, 901: 900}
+
+
+def test_frequent_shingles_in_blocks_and_ids_by_join(spark, monkeypatch):
+    from riskloom.llm import near_dup
+
+    monkeypatch.setattr(near_dup, "BLOCK", 3)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(70):  # all share most of a template, some pairs reach the threshold
+        words = base[:]
+        for _ in range(rng.randrange(1, 5)):
+            words[rng.randrange(60)] = f"x{rng.randrange(9)}"
+        texts.append(" ".join(words))
+    want = {i: (n, c, k) for i, (n, c, k) in brute_components(texts).items()}
+    for most in (near_dup.MOST_BITS, 1):
+        monkeypatch.setattr(near_dup, "MOST_BITS", most)
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs_of(spark, texts)).collect()}
+        assert got == want
