@@ -34,7 +34,8 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Null text counts as empty, and empty texts form one group. Rows that repeat an id with the same text are counted
     one by one and share the fate of that id. A null id is never the smallest where the group has another one; a group
-    of null ids alone has a null keep_id and keeps its rows. Other columns are not read.
+    of null ids alone has a null keep_id and keeps its rows. Texts are read whole, whatever their length; an empty table
+    gives no rows. Other columns are not read.
     """
     rows = docs.select(F.col(key).alias("doc_id"), normalised(F.col(text)).alias("t"))
     sha = F.sha2("t", 256)
@@ -49,6 +50,10 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns, whatever these are called.
+
+    Rows are told apart by id: rows that repeat a kept id all stay, also where they differ in text. Null text counts as
+    empty; a null id stays only if its group has no other. An empty table stays empty.
+    """
     kept = exact_groups(docs, key, text).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(kept, docs[key].eqNullSafe(kept["_kept_id"]), "left_semi")

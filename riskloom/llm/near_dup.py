@@ -287,6 +287,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, with all columns."""
+    """One document of each group, with all columns, whatever these are called.
+
+    Rows are told apart by id, so rows that repeat an id share its fate. Texts without words, null ones too, and rows
+    with a null id stay. An empty table stays empty.
+    """
     gone = near_duplicates(docs, key, text).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[key].eqNullSafe(gone["_gone"]), "left_anti")

@@ -193,7 +193,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     The statistics of all texts are computed once and written to the shared folder; model and scores start from there.
     Null text counts as empty; empty texts are scored like others. Labels that are neither 0 nor 1 are ignored. Without
     labels every score is 0.5, with one label only it is that label. An empty table gives no rows. Repeated rows are
-    scored one by one. Other columns are not read.
+    scored one by one. Texts are read whole, a slice or one longer text at a time. Other columns are not read.
     """
     stats = materialize(with_statistics(docs, key, text), "quality-stats")
     model = fit_quality(stats, labels, label)
@@ -203,6 +203,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that the classifier does not reject, with all their columns."""
+    """The rows that the classifier does not reject, with all their columns, whatever these are called.
+
+    Rows are told apart by id: of rows that repeat an id, none stays if one of them is rejected. Null text is scored as
+    empty text. An empty table stays empty.
+    """
     low = quality_scores(docs, labels, key, text).where("predicted = 0").select(F.col("doc_id").alias("_low")).distinct()
     return docs.join(low, docs[key].eqNullSafe(low["_low"]), "left_anti")

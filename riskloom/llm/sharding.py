@@ -62,7 +62,8 @@ def assign_shards(docs: DataFrame, shards: int = 24, key: str = "doc_id", text:
 
     The id and the number of shards decide alone. Slots number the rows of a shard from 0 without gaps; rows of equal
     id and text are interchangeable. Null text has size 8 and the checksum of no bytes; null ids share one shard (they
-    are one key). The text itself is not shuffled, and no shard is gathered in one task (`gapless_rank`).
+    are one key). The text itself, however long, is not shuffled, and no shard is gathered in one task (`gapless_rank`).
+    An empty table gives no rows. Other columns are not read.
     """
     body = text_or_empty(F.col(text))
     id_ = F.col(key)

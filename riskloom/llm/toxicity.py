@@ -148,7 +148,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     Whole texts are scored where they lie: nothing is shuffled but the bounded sample. Null text counts as empty; a
     text without weighted n-grams has the score of the intercept. Labels that are neither 0 nor 1 are ignored. Without
     labels every score is 0.5; with one label only the score is near that label. An empty table gives no rows; repeated
-    rows are scored one by one. Other columns are not read.
+    rows are scored one by one. Texts are read whole, a slice or one longer text at a time. Other columns are not read.
     """
     model = fit_toxicity(docs, labels, label, key, text)
 

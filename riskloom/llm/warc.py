@@ -56,7 +56,8 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
     Of the rows with equal payload (of at least `least_revisit_bytes` bytes) the largest id is written as response, the
     others as revisits of it. Who is the response is found from digests alone, counted per task first; pages meet it in
     a join that adaptive execution can split. Null html is an empty payload. Null ids are never the largest where
-    another id exists; rows that repeat the winning id are all responses.
+    another id exists; rows that repeat the winning id are all responses. An empty table makes archives without records.
+    Other columns are not read.
 
     Spark's own writer makes the files, so a lost executor leaves no half-written one. Its separator between rows is an
     empty gzip member, which readers skip.
