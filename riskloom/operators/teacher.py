@@ -36,11 +36,16 @@ def parse_teacher_json(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Label and confidence from an answer that holds one JSON object.
 
     Text around the object is ignored. Numbers may be written as texts. A
-    broken answer gives label -1, no confidence and the reason.
+    label that is a JSON number loses its fraction (1.7 is 1), one that is a
+    text must be a whole number. A broken answer gives label -1, no confidence
+    and the reason.
     """
     body = F.regexp_extract(text_or_empty(raw), r"(?s)(\{.*\})", 1)
     parsed = F.from_json(body, "label string, confidence string")
-    label = F.col("_a.label").try_cast("int")
+    message = F.try_parse_json(body)
+    kind = F.schema_of_variant(F.try_variant_get(message, "$.label", "variant"))
+    number = F.try_variant_get(message, "$.label", "double").try_cast("int")
+    label = F.when((kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"), number).otherwise(F.col("_a.label").try_cast("int"))
     conf = F.col("_a.confidence").try_cast("double")
     reason = (
         F.when(F.col("_a").isNull() | (F.col("_a.label").isNull() & F.col("_a.confidence").isNull()), "no json")

@@ -110,12 +110,14 @@ class Views:
 
     @cached_property
     def teacher_raw(self) -> DataFrame:
-        """Answers as text: some with words around the JSON, some broken, some with quoted numbers."""
+        """Answers as text: some with words around the JSON, some broken, some with quoted, broken or unknown numbers."""
         i = F.col("doc_id")
         conf = F.concat(F.lit("0."), (55 + (i % 9) * 5).cast("string"))
         label = F.when(i % 10 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")).cast("string")
-        quoted = F.when(i % 7 == 0, F.concat(F.lit('"'), label, F.lit('"'))).otherwise(label)
-        body = F.concat(F.lit('{"label": '), quoted, F.lit(', "confidence": '), conf, F.lit("}"))
+        quoted = F.when(i % 43 == 0, "2").when(i % 41 == 0, F.concat(label, F.lit(".7"))).when(
+            i % 7 == 0, F.concat(F.lit('"'), label, F.lit('"'))).otherwise(label)
+        sure = F.when(i % 47 == 0, '"high"').otherwise(conf)
+        body = F.concat(F.lit('{"label": '), quoted, F.lit(', "confidence": '), sure, F.lit("}"))
         raw = (
             F.when(i % 37 == 0, F.lit("no answer {label"))
             .when(i % 5 == 0, F.concat(F.lit("Answer:\n"), body, F.lit("\nDone."))).otherwise(body))

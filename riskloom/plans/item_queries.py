@@ -184,11 +184,11 @@ def blend_soft_label(v: Views):
 
 
 @query("PR15", with_views("""
-SELECT sample_id,
-  CASE WHEN j IS NULL THEN -1 ELSE CAST(j->>'label' AS INTEGER) END AS teacher_label,
-  CASE WHEN j IS NOT NULL THEN least(greatest(CAST(j->>'confidence' AS DOUBLE), 0), 1) END AS teacher_confidence,
-  CASE WHEN j IS NULL THEN 'no json' ELSE 'ok' END AS teacher_reason
-FROM (SELECT sample_id, TRY_CAST(nullif(regexp_extract(raw, '\\{.*\\}', 0, 's'), '') AS JSON) AS j FROM v_teacher_raw)""",
+SELECT sample_id, CASE WHEN why = 'ok' THEN lab ELSE -1 END AS teacher_label,
+  CASE WHEN why = 'ok' THEN least(greatest(conf, 0), 1) END AS teacher_confidence, why AS teacher_reason
+FROM (SELECT *, CASE WHEN j IS NULL THEN 'no json' WHEN lab IS NULL OR lab NOT IN (0, 1) THEN 'bad label' WHEN conf IS NULL THEN 'bad confidence' ELSE 'ok' END AS why
+  FROM (SELECT sample_id, j, CAST(trunc(TRY_CAST(j->>'label' AS DOUBLE)) AS INTEGER) AS lab, TRY_CAST(j->>'confidence' AS DOUBLE) AS conf
+    FROM (SELECT sample_id, TRY_CAST(nullif(regexp_extract(raw, '\\{.*\\}', 0, 's'), '') AS JSON) AS j FROM v_teacher_raw)))""",
     "v_teacher_raw"))
 def parse_teacher_json(v: Views):
     return TE.parse_teacher_json(v.teacher_raw).select("sample_id", "teacher_label", "teacher_confidence", "teacher_reason")

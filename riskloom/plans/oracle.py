@@ -84,8 +84,8 @@ SELECT doc_id AS sample_id,
   CASE WHEN doc_id % 37 = 0 THEN 'no answer {label'
        WHEN doc_id % 5 = 0 THEN 'Answer:' || chr(10) || body || chr(10) || 'Done.' ELSE body END AS raw
 FROM (SELECT doc_id, '{"label": ' ||
-    CASE WHEN doc_id % 7 = 0 THEN '"' || lab || '"' ELSE lab END ||
-    ', "confidence": 0.' || CAST(55 + (doc_id % 9) * 5 AS VARCHAR) || '}' AS body
+    CASE WHEN doc_id % 43 = 0 THEN '2' WHEN doc_id % 41 = 0 THEN lab || '.7' WHEN doc_id % 7 = 0 THEN '"' || lab || '"' ELSE lab END ||
+    ', "confidence": ' || CASE WHEN doc_id % 47 = 0 THEN '"high"' ELSE '0.' || CAST(55 + (doc_id % 9) * 5 AS VARCHAR) END || '}' AS body
   FROM (SELECT doc_id, CAST(CASE WHEN doc_id % 10 = 0 THEN 1 - toxic ELSE toxic END AS VARCHAR) AS lab FROM labels))"""),
     "v_scored": (("v_labelled", "v_predictions"), """
 SELECT l.*, p.risk_score AS student_score, p.alert_flag AS student_pred,

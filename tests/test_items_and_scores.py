@@ -68,11 +68,12 @@ def test_char_grams_match_the_definition(spark):
 
 def test_teacher_answers(spark):
     raws = ['{"label": 1, "confidence": 0.9}', 'so: {"label": "0", "confidence": "1.7"} ok', "nothing", '{"label": 2, "confidence": 0.5}',
-            '{"label": 1}', None, '{"label": 1, "confidence": -3}']
+            '{"label": 1}', None, '{"label": 1, "confidence": -3}', '{"label": 1.7, "confidence": 0.5}', '{"label": "1.7", "confidence": 0.5}',
+            '{"label": -0.4, "confidence": 0.5}', '{"label": 1e30, "confidence": 0.5}']
     df = spark.createDataFrame(list(enumerate(raws)), "i int, raw string")
     got = [(r.teacher_label, r.teacher_confidence, r.teacher_reason) for r in TE.parse_teacher_json(df).orderBy("i").collect()]
     assert got == [(1, 0.9, "ok"), (0, 1.0, "ok"), (-1, None, "no json"), (-1, None, "bad label"), (-1, None, "bad confidence"),
-                   (-1, None, "no json"), (1, 0.0, "ok")]
+                   (-1, None, "no json"), (1, 0.0, "ok"), (1, 0.5, "ok"), (-1, None, "bad label"), (0, 0.5, "ok"), (-1, None, "bad label")]
     answers = ["1", "Answer: 0.", "10", "класс1", None, "no 1 or 0"]
     rows = spark.createDataFrame(list(enumerate(answers)), "i int, a string").orderBy("i").select(N.parse_binary_answer("a")).collect()
     assert [r[0] for r in rows] == [1, 0, -1, -1, -1, 1]
