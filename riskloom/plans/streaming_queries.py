@@ -126,3 +126,16 @@ def alerts_per_day_stream(v: Views):
     )
     q.awaitTermination()
     return v.spark.read.parquet(out).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "alerts")
+
+
+@query("SP6 SP8", """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS alerts FROM events WHERE event_type = 'error' GROUP BY date_trunc('day', ts)
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'error')""")
+def final_alert_days_stream(v: Views):
+    """Days that are final when the replayed stream ends, in append mode: the last ones are still open."""
+    source, out = scratch_path(v.spark, "alerts"), scratch_path(v.spark, "final-days")
+    v.table("events").filter("event_type = 'error'").select("event_id", F.col("ts").cast("timestamp").alias("ts")).write.parquet(source)
+    stream = v.spark.readStream.schema("event_id long, ts timestamp").parquet(source)
+    SS.final_alert_counts(v.spark, stream, out, scratch_path(v.spark, "stream-state")).awaitTermination()
+    days = v.spark.read.schema("day timestamp, alerts long, step long").parquet(out)
+    return days.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "alerts")

@@ -187,6 +187,20 @@ def alert_counts_by_day(alerts: DataFrame, at: str = "ts", late: str = "1 hour")
     )
 
 
+def final_alert_counts(spark: SparkSession, alerts: DataFrame, out: str, checkpoint: str, at: str = "ts", late: str = "1 hour") -> StreamingQuery:
+    """Write each day's count once, when the day is final; alerts that come after that are dropped.
+
+    A step writes a folder of its own, so a retried step does not write its days twice.
+    """
+    def keep(rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/step={epoch}")
+
+    return (
+        alert_counts_by_day(alerts, at, late).writeStream.outputMode("append").foreachBatch(keep)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def land_items(items: DataFrame, landing: str) -> None:
     """Write items as landing CSV files, one folder per batch."""
     write_landing(items.select(*[f.name for f in LANDING_ITEM.fields], "batch_id"), landing)

@@ -181,3 +181,22 @@ def test_terms_are_counted_inside_the_row(spark):
     assert {(r.id, r.term): r.tf for r in terms.collect()} == {(i, t): n for i, c in want.items() for t, n in c.items()}
     chars = {(r.id, r.term): r.tf for r in X.doc_terms(df.where("id = 4"), X.CHAR, "id", "x").collect()}
     assert chars == {(4, " bb"): 2, (4, "bb "): 2, (4, " bb "): 2}
+
+
+def test_late_alerts_are_dropped_once_their_day_is_final(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def step(*times):
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "event_id long, ts string")
+        rows.select("event_id", F.col("ts").cast("timestamp").alias("ts")).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("event_id long, ts timestamp").parquet(source)
+        SS.final_alert_counts(spark, stream, out, state).awaitTermination()
+        days = spark.read.schema("day timestamp, alerts long, step long").parquet(out)
+        return sorted((str(r.day)[:10], r.alerts) for r in days.collect())
+
+    assert step("2024-01-01 10:00:00", "2024-01-01 23:30:00") == []
+    # a little late, within the hour: still counted
+    assert step("2024-01-02 00:20:00", "2024-01-01 23:40:00") == []
+    assert step("2024-01-02 02:00:00") == [("2024-01-01", 3)]
+    # too late: its day is final
+    assert step("2024-01-01 12:00:00", "2024-01-03 05:00:00") == [("2024-01-01", 3), ("2024-01-02", 2)]
