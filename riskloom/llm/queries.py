@@ -140,27 +140,42 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir)
 
 
-def _license_sql() -> str:
-    rows, squares, unseen = licenses.template_weights(licenses.TEMPLATES)
+def _license_units_sql(name: str, units: str, templates: dict[str, list[str]]) -> str:
+    """CTEs that end in `scored_<name>` (doc_id, license, score): units (doc_id, unit, body) against the templates."""
+    rows, squares, unseen = licenses.template_weights(templates)
     values = ", ".join(f"('{n}', {i}, '{w}', CAST({v!r} AS DOUBLE))" for n, i, w, v in rows)
     known = ", ".join(f"('{w}', CAST({v!r} AS DOUBLE))" for w, v in squares.items())
     return f"""
-WITH t(license, notice, w, weight) AS (VALUES {values}),
-k(w, square) AS (VALUES {known}),
-files AS (
+t_{name}(license, notice, w, weight) AS (VALUES {values}),
+k_{name}(w, square) AS (VALUES {known}),
+units_{name} AS ({units}),
+words_{name} AS (SELECT doc_id, unit, unnest(list_distinct(regexp_extract_all(body, '{licenses.TERM}'))) AS w FROM units_{name}
+  WHERE regexp_matches(body, '[a-z0-9]')),
+valued_{name} AS (SELECT x.*, coalesce(k.square, {round(unseen * unseen, 9)!r}) AS square FROM words_{name} x LEFT JOIN k_{name} k ON x.w = k.w),
+norms_{name} AS (SELECT doc_id, unit, sqrt(sum(square)) AS norm FROM valued_{name} GROUP BY ALL),
+dots_{name} AS (SELECT doc_id, unit, license, notice, sum(sqrt(square) * weight) AS dot
+  FROM valued_{name} v JOIN t_{name} t ON v.w = t.w GROUP BY ALL),
+scored_{name} AS (SELECT doc_id, license, round(dot / norm, 6) AS score FROM dots_{name} JOIN norms_{name} USING (doc_id, unit)
+  WHERE round(dot / norm, 6) >= {licenses.THRESHOLD}),"""
+
+
+def _license_sql() -> str:
+    def pieces(cut: str) -> str:
+        return f"SELECT doc_id, unnest({cut}) AS body, generate_subscripts({cut}, 1) AS unit FROM files"
+
+    lines = _license_units_sql("line", pieces("string_split(lower(text), chr(10))"), licenses.TEMPLATES)
+    blocks = _license_units_sql(
+        "block", pieces(r"regexp_split_to_array(lower(text), '\n[^a-z0-9]*\n')"), licenses.blocks_of(licenses.TEMPLATES, licenses.HEADERS))
+    whole = _license_units_sql(
+        "whole", "SELECT doc_id, 1 AS unit, lower(text) AS body FROM files WHERE doc_id % 10 = 0", licenses.full_texts())
+    return f"""
+WITH files AS (
   SELECT doc_id, coalesce(text, '') AS text,
     CASE WHEN doc_id % 100 = 0 THEN concat_ws('/', source, 'LICENSE-' || doc_id)
          WHEN doc_id % 10 = 0 THEN concat_ws('/', source, lang, 'LICENSE-' || doc_id)
          ELSE concat_ws('/', source, lang, 'b' || (doc_id % 64), doc_id || '.txt') END AS path
-  FROM documents),
-lines AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS body, generate_subscripts(string_split(lower(text), chr(10)), 1) AS line FROM files),
-words AS (SELECT doc_id, line, unnest(list_distinct(regexp_extract_all(body, '{licenses.TERM}'))) AS w FROM lines
-          WHERE regexp_matches(body, '[a-z0-9]')),
-valued AS (SELECT words.*, coalesce(k.square, {round(unseen * unseen, 9)!r}) AS square FROM words LEFT JOIN k ON words.w = k.w),
-norms AS (SELECT doc_id, line, sqrt(sum(square)) AS norm FROM valued GROUP BY ALL),
-dots AS (SELECT doc_id, line, license, notice, sum(sqrt(square) * weight) AS dot FROM valued JOIN t ON valued.w = t.w GROUP BY ALL),
-scored AS (SELECT doc_id, license, round(dot / norm, 6) AS score FROM dots JOIN norms USING (doc_id, line)
-           WHERE round(dot / norm, 6) >= {licenses.THRESHOLD}),
+  FROM documents),{lines}{blocks}{whole}
+scored AS (SELECT * FROM scored_line UNION ALL SELECT * FROM scored_block UNION ALL SELECT * FROM scored_whole),
 own AS (SELECT doc_id, license, score FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
 place AS (SELECT doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir, doc_id % 10 = 0 AS named FROM files),
 holders AS (SELECT dir, license, score FROM place JOIN own USING (doc_id) WHERE named

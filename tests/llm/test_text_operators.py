@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.decontaminate import drop_leaks, leaks
 from riskloom.llm.html_text import PageTree, main_texts
-from riskloom.llm.licenses import TEMPLATES, license_scan, telling_terms, template_weights
+from riskloom.llm.licenses import HEADERS, TEMPLATES, blocks_of, full_texts, least_terms, license_scan, telling_terms, template_weights
 from riskloom.llm.quality import THRESHOLD, drop_low_quality, pool_adjacent, quality_scores, text_statistics
 from riskloom.llm.toxicity import toxicity_scores
 from tests.llm.test_dedup import docs_of
@@ -41,11 +41,46 @@ def test_license_ties_and_repeats(spark):
     assert got[3] == ("CC0-1.0", "directory", "") and got[2] == ("MIT", "header", None)
 
 
-def test_lines_without_telling_terms_stay_below_the_threshold():
-    rows, _, _ = template_weights(TEMPLATES)
-    telling = set(telling_terms(rows, 0.75))
+def test_whole_licence_texts_are_found_and_inherited(spark):
+    texts = {name: text[0] for name, text in full_texts().items()}
+    rows, want = [], {}
+    for i, (name, text) in enumerate(sorted(texts.items())):
+        body = "The License\r\n\r\nCopyright (c) 2024 Jane Roe\n\n" + text.replace("\n", "\r\n")
+        if name == "GPL-3.0":
+            body = text[:text.index("How to Apply These Terms")]  # without the header at its end
+        rows += [(2 * i, f"p{i}/LICENSE.md", body), (2 * i + 1, f"p{i}/src/f.py", "code")]
+        want |= {2 * i: (name, "header", None), 2 * i + 1: (name, "directory", f"p{i}")}
+    rows.append((900, "q/essay.txt", "words " * 50 + texts["GPL-3.0"][:9000]))   # no licence file
+    rows.append((901, "q/LICENSE", "All rights reserved. " * 200))
+    got = scan(spark, rows)
+    assert got.pop(900) == got.pop(901) == (None, "none", None)
+    assert got == want
+
+
+def test_headers_in_comments_and_notices_over_two_lines(spark):
+    def comment(text, mark):
+        words = text.split()
+        lines = [" ".join(words[i:i + 9]) for i in range(0, len(words), 9)]
+        return "\n".join(["#!/bin/x", mark, *[f"{mark} {line}" for line in lines], mark, "code = 1", "more code"])
+
+    cases = [(name, text, mark) for name, texts in HEADERS.items() for text in texts for mark in ("#", " *", "//")]
+    rows = [(i, f"d/{i}.py", comment(text, mark)) for i, (_, text, mark) in enumerate(cases)]
+    rows.append((100, "e.py", "Licensed under the Apache\nLicense, Version 2.0."))
+    rows.append((101, "f.py", "// Released under\n// the MIT License.\n\n\ncode"))
+    rows.append((102, "g.py", "\n" * 50_000 + "x\n" + " \n" * 50_000 + "the license of software\n"))
+    got = scan(spark, rows)
+    assert {i: got[i][0] for i in range(len(cases))} == {i: c[0] for i, c in enumerate(cases)}
+    assert got[100][0] == "Apache-2.0" and got[101][0] == "MIT" and got[102][0] is None
+
+
+@pytest.mark.parametrize("templates", [TEMPLATES, blocks_of(TEMPLATES, HEADERS), full_texts()])
+def test_units_that_are_not_scored_stay_below_the_threshold(templates):
+    rows, _, _ = template_weights(templates)
+    telling, least = set(telling_terms(rows, 0.75)), least_terms(rows, 0.75)
     for notice in {r[:2] for r in rows}:
-        assert sum(r[3] ** 2 for r in rows if r[:2] == notice and r[2] not in telling) < 0.75 ** 2
+        weights = {r[2]: r[3] for r in rows if r[:2] == notice}
+        assert sum(w * w for t, w in weights.items() if t not in telling) < 0.75 ** 2
+        assert sum(w * w for w in sorted(weights.values())[::-1][:least - 1]) < 0.75 ** 2
 
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><header class="top">Site</header>
