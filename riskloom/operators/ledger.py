@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import PLAN_NAME, PURCHASE, SUBSCRIPTION_DAYS, TOP_UP
 from riskloom.operators.results import latest_n
-from riskloom.operators.running import running_by_period
+from riskloom.operators.running import BUCKET_ROWS, running_in_order
 
 MONEY = "decimal(20,2)"
 
@@ -35,14 +35,13 @@ def ledger_balance(ledger: DataFrame) -> DataFrame:
         F.count_if(F.col("transaction_type") == PURCHASE).alias("purchases"))
 
 
-def running_balance(ledger: DataFrame, at: str = "created_at", key: str = "id") -> DataFrame:
-    """Balance after each transaction, in time order.
+def running_balance(ledger: DataFrame, at: str = "created_at", key: str = "id", rows: int = BUCKET_ROWS) -> DataFrame:
+    """Balance after each transaction, in time order, ties by key.
 
-    A user with a third of all transactions is spread over days.
+    A user's transactions run in slices of about ``rows`` rows, however many fall on one day or instant.
     """
-    return running_by_period(
-        ledger, "user_id", at, [key], {"balance_after": ("sum", F.col("amount").cast("decimal(28,2)"))},
-        F.to_date(F.col(at)))
+    return running_in_order(
+        ledger, "user_id", [at, key], {"balance_after": ("sum", F.col("amount").cast("decimal(28,2)"))}, rows)
 
 
 def overdrawn_purchases(ledger: DataFrame, at: str = "created_at", key: str = "id") -> DataFrame:
@@ -53,23 +52,23 @@ def overdrawn_purchases(ledger: DataFrame, at: str = "created_at", key: str = "i
         "balance_before", before)
 
 
-def _coverage(points: DataFrame, subs: DataFrame, at: str, key: str) -> DataFrame:
+def _coverage(points: DataFrame, subs: DataFrame, at: str, key: str, rows: int) -> DataFrame:
     """Every point with the subscription that started by then and ends last.
 
     Instead of a range join (all points of a user times all its
     subscriptions), both tables run in time order and carry the latest end
-    seen so far; at equal times a start comes before a point.
+    seen so far; at equal times a start comes before a point. Nobody's
+    subscriptions (null user) cover nothing.
     """
     sub_row = F.struct(F.col("ends_at"), F.col("starts_at"), F.col("id").alias("subscription_id"))
-    starts = subs.select(
+    starts = subs.where(F.col("user_id").isNotNull()).select(
         "user_id", F.col("starts_at").alias("_at"), F.lit(0).alias("_kind"),
-        F.lit(None).cast(points.schema[key].dataType).alias(key), sub_row.alias("_sub"))
+        F.lit(None).cast(points.schema[key].dataType).alias(key), sub_row.alias("_sub"), F.xxhash64(sub_row).alias("_tie"))
     asked = points.select(
         "user_id", F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.col(key),
-        F.lit(None).cast(starts.schema["_sub"].dataType).alias("_sub"))
-    ran = running_by_period(
-        starts.unionByName(asked), "user_id", "_at", ["_kind"], {"_best_row": ("max", F.col("_sub"))},
-        F.to_date(F.col("_at")))
+        F.lit(None).cast(starts.schema["_sub"].dataType).alias("_sub"), F.xxhash64(key).alias("_tie"))
+    ran = running_in_order(
+        starts.unionByName(asked), "user_id", ["_at", "_kind", "_tie"], {"_best_row": ("max", F.col("_sub"))}, rows)
     # Only a subscription that has not ended covers the point.
     covers = F.col("_best_row.ends_at") >= F.col("_at")
     return ran.filter("_kind = 1").select(
@@ -78,14 +77,18 @@ def _coverage(points: DataFrame, subs: DataFrame, at: str, key: str) -> DataFram
         *[F.when(covers, F.col(f"_best_row.{c}")).alias(c) for c in ("subscription_id", "starts_at", "ends_at")])
 
 
-def entitled_uploads(uploads: DataFrame, subs: DataFrame, at: str = "created_at", key: str = "id") -> DataFrame:
+def entitled_uploads(
+    uploads: DataFrame, subs: DataFrame, at: str = "created_at", key: str = "id", rows: int = BUCKET_ROWS,
+) -> DataFrame:
     """Uploads marked as allowed or not by a subscription at that time."""
-    return _coverage(uploads, subs, at, key).select("user_id", key, at, "entitled")
+    return _coverage(uploads, subs, at, key, rows).select("user_id", key, at, "entitled")
 
 
-def active_subscription_asof(points: DataFrame, subs: DataFrame, at: str = "at", key: str = "id") -> DataFrame:
+def active_subscription_asof(
+    points: DataFrame, subs: DataFrame, at: str = "at", key: str = "id", rows: int = BUCKET_ROWS,
+) -> DataFrame:
     """Latest-ending subscription that covers each asked instant, null if none."""
-    return _coverage(points, subs, at, key)
+    return _coverage(points, subs, at, key, rows)
 
 
 def active_subscription_at(subs: DataFrame, instant: Column) -> DataFrame:

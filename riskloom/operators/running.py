@@ -16,6 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import materialize
 
 BUCKET_ROWS = 50_000  # rows of a bucket, about; more rows make more buckets
 
@@ -104,28 +105,35 @@ def percentiles(
         for name, spot in at.items()])
 
 
-def running_by_period(
-    df: DataFrame, key: str, at: str, tie: Sequence[str], aggs: Mapping[str, tuple[str, Column]],
-    period: Column,
+def in_slices(df: DataFrame, key: str, order: Sequence[str], rows: int = BUCKET_ROWS) -> DataFrame:
+    """The rows, written once, with `_slice`: consecutive ranges of (key, order) of about ``rows`` rows.
+
+    Spark's range partitioning picks the cut points from a sample of the rows, so a key with a third of the table, or a
+    day with two thirds of it, takes as many slices as its rows need. Rows that are equal in key and order stay
+    together: make the order unique.
+    """
+    number = max(1, ceil(df.count() / rows))
+    return materialize(df.repartitionByRange(number, key, *order).withColumn("_slice", F.spark_partition_id()), "slices")
+
+
+def running_in_order(
+    df: DataFrame, key: str, order: Sequence[str], aggs: Mapping[str, tuple[str, Column]], rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Running ``sum`` or ``max`` per key in time order, split by time period.
+    """Running ``sum`` or ``max`` per key over its rows in order, in slices of about ``rows`` rows.
 
-    ``aggs`` maps an output name to (``"sum"`` or ``"max"``, value). ``period``
-    is a bucket of the time that never decreases with it (a day, an hour). A
-    key that owns a third of the table is spread over its periods.
+    ``aggs`` maps an output name to (``"sum"`` or ``"max"``, value). No task holds a key: rows run inside their slice,
+    and the totals of a key's earlier slices, one row each, give its start. Rows of a null key run together.
     """
     fn = {"sum": F.sum, "max": F.max}
-    rows = df.withColumn("_period", period).withColumns({f"_v_{n}": v for n, (_, v) in aggs.items()})
-    totals = rows.groupBy(key, "_period").agg(*[fn[k](f"_v_{n}").alias(f"_t_{n}") for n, (k, _) in aggs.items()])
-    before = Window.partitionBy(key).orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
+    cut = in_slices(df.withColumns({f"_v_{n}": v for n, (_, v) in aggs.items()}), key, order, rows)
+    totals = cut.groupBy(key, "_slice").agg(*[fn[k](f"_v_{n}").alias(f"_t_{n}") for n, (k, _) in aggs.items()])
+    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        F.col(key).alias("_key"), F.col("_period").alias("_start"),
+        F.col(key).alias("_key"), F.col("_slice").alias("_start"),
         *[fn[k](f"_t_{n}").over(before).alias(f"_s_{n}") for n, (k, _) in aggs.items()])
-    inside = (
-        Window.partitionBy(key, "_period").orderBy(at, *tie).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ran = rows.withColumns({f"_r_{n}": fn[k](f"_v_{n}").over(inside) for n, (k, _) in aggs.items()})
-    out = ran.join(starts, (ran[key] == starts["_key"]) & (ran["_period"] == starts["_start"]), "inner")
+    inside = Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ran = cut.withColumns({f"_r_{n}": fn[k](f"_v_{n}").over(inside) for n, (k, _) in aggs.items()})
+    out = ran.join(starts, ran[key].eqNullSafe(starts["_key"]) & (ran["_slice"] == starts["_start"]), "inner")
 
     def merged(n: str, kind: str) -> Column:
         a, b = F.col(f"_s_{n}"), F.col(f"_r_{n}")

@@ -13,6 +13,7 @@ from riskloom.constants import (
 from riskloom.functions.rows import compute_once
 from riskloom.functions.text import model_text
 from riskloom.operators.items import resolve_entity
+from riskloom.session import materialize
 
 # Weights are added up as whole millionths: the sum does not depend on order.
 UNIT = 1_000_000
@@ -77,11 +78,10 @@ def predictions(scored: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 def rank_by_risk(df: DataFrame, key: str = "news_item_id") -> DataFrame:
     """Highest risk first, ties by key.
 
-    A global sort reads its input twice, first to sample the ranges. The
-    exchange in front of it makes the sample read the scored rows, so that the
-    texts are scored once.
+    A global sort reads its input twice, first to sample the ranges. The rows are written before, so what made them,
+    such as scoring texts, runs once; the sort reads what is written.
     """
-    return df.repartition(F.col(key)).orderBy(F.desc("risk_score"), F.col(key))
+    return materialize(df, "ranked").orderBy(F.desc("risk_score"), F.col(key))
 
 
 def recent_first(df: DataFrame, at: str = "created_at", key: str = "id") -> DataFrame:

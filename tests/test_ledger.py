@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import ledger as G
 from riskloom.operators import results as R
+from riskloom.operators.running import in_slices
 
 T0 = dt.datetime(2026, 1, 1)
 
@@ -37,6 +38,35 @@ def test_coverage_equals_the_range_join(spark):
     assert sum(r.entitled for r in G.entitled_uploads(u, s).collect()) == sum(v[0] for v in got.values())
 
 
+def test_a_busy_day_and_a_busy_instant_are_cut_into_slices(spark):
+    """Two thirds of the rows are one user's, on one day, half of them at one instant."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(3000):
+        if i % 3:
+            rows.append((i, 1, float(rnd.randint(-50, 50)), T0 + dt.timedelta(seconds=0 if i % 2 else rnd.randint(0, 80_000))))
+        else:
+            rows.append((i, rnd.randint(2, 5) if i % 9 else None, 1.0, T0 + dt.timedelta(hours=rnd.randint(0, 99))))
+    df = spark.createDataFrame(rows, "id long, user_id long, amount double, created_at timestamp")
+    cut = in_slices(df, "user_id", ["created_at", "id"], rows=100).groupBy("user_id", "_slice").count().collect()
+    assert sum(r["count"] for r in cut) == 3000 and max(r["count"] for r in cut) <= 300
+    assert len([r for r in cut if r.user_id == 1]) >= 10
+    got = {r.id: float(r.balance_after) for r in G.running_balance(df, rows=100).collect()}
+    assert len(got) == 3000
+    for user in (1, 2, 3, 4, 5, None):
+        total = 0.0
+        for i, _, a, _ in sorted((r for r in rows if r[1] == user), key=lambda r: (r[3], r[0])):
+            total += a
+            assert got[i] == total
+
+    subs = [(j, 1, T0 + dt.timedelta(seconds=60 * j), T0 + dt.timedelta(seconds=60 * j + rnd.choice([5, 30, 4000]))) for j in range(0, 400, 7)]
+    s = spark.createDataFrame(subs + [(999, None, T0, T0 + dt.timedelta(days=9))], "id long, user_id long, starts_at timestamp, ends_at timestamp")
+    asked = {r.id: (r.entitled, r.ends_at) for r in G.active_subscription_asof(df.drop("amount"), s, at="created_at", rows=100).collect()}
+    for i, user, _, at in rows:
+        ends = [e for _, u, b, e in subs if u == user and b <= at <= e]
+        assert asked[i] == (bool(ends), max(ends) if ends else None)
+
+
 def test_running_balance_and_latest(spark):
     rnd = random.Random(2)
     rows = [(i, rnd.choice([1, 1, 1, 2, 3]), float(rnd.randint(-50, 50)), T0 + dt.timedelta(hours=rnd.randint(0, 99))) for i in range(200)]
