@@ -2,29 +2,54 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.constants import NULL_TOKENS, OPTIONAL_COLUMNS, REQUIRED_COLUMNS, RESULT_COLUMNS
 from riskloom.functions.text import is_blank
+from riskloom.sources.csv_records import csv_records, header
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
+RECORD_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
+def _named(names: Sequence[str]) -> list[str]:
+    """Column names that differ: a missing name is the column's place, a repeated one gets its place added."""
+    return [f"_c{i}" if not n else f"{n}{i}" if list(names).count(n) > 1 else n for i, n in enumerate(names)]
+
+
+def _rows(spark: SparkSession, files: Sequence[str], width: int) -> DataFrame:
+    """`stored_path`, `_place` and the values `_0` … of every record after the header, all files having one header."""
+    declared = ", ".join(f"`_{i}` string" for i in range(width))
+    records = csv_records(spark, files).where("place > 0")
+    return records.select(
+        F.col("f").alias("stored_path"), (F.col("place") - 1).alias("_place"), F.from_csv("record", declared, RECORD_OPTIONS).alias("r")).select(
+        "stored_path", "_place", "r.*")
+
+
 def read_news_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Read CSV files by header; every column is text, quoted newlines are kept.
 
-    Columns are found by name in the header, so files may order them freely.
-    Use `null_tokens` for default missing-value handling.
+    Columns are found by name in the header of each file, so files may order them freely. A large file is cut into
+    many tasks, see `csv_records`. Use `null_tokens` for default missing-value handling.
     """
-    raw = spark.read.options(**CSV_OPTIONS, inferSchema="false", pathGlobFilter="*.csv").csv(path)
-    if not raw.columns:
+    listed = spark.read.option("pathGlobFilter", "*.csv").text([path] if isinstance(path, str) else list(path)).inputFiles()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in sorted(unquote(f) for f in listed):
+        names = header(spark, f)
+        if names:
+            groups.setdefault(tuple(_named(names)), []).append(f)
+    if not groups:
         raise ValueError("the file is empty")
-    return raw
+    parts = [_rows(spark, group, len(names)).select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
+             for names, group in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def null_tokens(df: DataFrame, cols: Iterable[str] | None = None, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
@@ -102,37 +127,6 @@ def _unescaped(name):
     return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
 
 
-def _first_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
-    """The first line of each file that has one; rows of a file's first block come in order."""
-    def first(batches):
-        seen = set()
-        for batch in batches:
-            at = [i for i, f in enumerate(batch.column(0).to_pylist()) if not (f in seen or seen.add(f))]
-            if at:
-                yield batch.take(pa.array(at))
-
-    lines = spark.read.text(list(files)).where(F.col("_metadata.file_block_start") == 0).select(
-        _unescaped(F.col("_metadata.file_path")).alias("f"), "value").mapInArrow(first, "f string, value string")
-    return {r.f: r.value for r in lines.collect()}  # one line per file of a step
-
-
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Adds `_place`, the number of a row in its file. A file with quoted line ends is read by one task, in order."""
-    at = rows.columns.index("stored_path")
-
-    def number(batches):
-        seen: dict[str, int] = {}
-        for batch in batches:
-            places = []
-            for f in batch.column(at).to_pylist():
-                places.append(seen.get(f, 0))
-                seen[f] = places[-1] + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64())], names=[*batch.schema.names, "_place"])
-
-    schema = ", ".join([*[f"`{n}` {t}" for n, t in rows.dtypes], "_place long"])
-    return rows.mapInArrow(number, schema)
-
-
 def read_by_header(spark: SparkSession, files: Sequence[str], schema) -> tuple[DataFrame | None, list[str], dict[str, str]]:
     """Rows of CSV files, each file's columns found by its own header: (rows, absent optional columns, errors by file).
 
@@ -142,13 +136,11 @@ def read_by_header(spark: SparkSession, files: Sequence[str], schema) -> tuple[D
     """
     headers: dict[tuple[str, ...], list[str]] = {}
     errors: dict[str, str] = {}
-    lines = _first_lines(spark, files)
     for f in files:
-        line = lines.get(f, "").lstrip("\ufeff").strip()
-        if not line:
+        names = tuple(header(spark, f))
+        if not names:
             errors[f] = "the file is empty"
             continue
-        names = tuple(n.strip() for n in next(csv.reader([line])))
         missing = [c for c in REQUIRED_COLUMNS if c not in names]
         if missing:
             errors[f] = "missing required columns: " + ", ".join(missing)
@@ -158,15 +150,14 @@ def read_by_header(spark: SparkSession, files: Sequence[str], schema) -> tuple[D
     parts = []
     for names, group in headers.items():
         absent |= {c for c in OPTIONAL_COLUMNS if c not in names}
-        declared = ", ".join(f"`_{i}` string" for i in range(len(names)))
-        raw = spark.read.schema(declared).options(**CSV_OPTIONS).csv(group)
         place = {n: F.col(f"_{i}") for i, n in reversed(list(enumerate(names)))}
         columns = [place[f.name].try_cast(f.dataType).alias(f.name) if f.name in place else F.lit(None).cast(f.dataType).alias(f.name)
                    for f in schema.fields]
-        part = raw.select(*columns, F.col("_metadata.file_path").alias("stored_path"))
+        part = _rows(spark, group, len(names)).select(*columns, "stored_path", "_place")
         if "id" not in names:
-            content = [c for c in part.columns if c != "id"]
-            part = _numbered(part).withColumn("id", F.xxhash64("_place", *content).bitwiseAND(F.lit((1 << 62) - 1))).drop("_place")
+            content = [c for c in part.columns if c not in ("id", "_place")]
+            part = part.withColumn("id", F.xxhash64("_place", *content).bitwiseAND(F.lit((1 << 62) - 1)))
+        part = part.drop("_place")
         parts.append(part)
     out = None
     for part in parts:
