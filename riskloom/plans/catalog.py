@@ -1,7 +1,7 @@
 """All registered queries. Importing the modules fills the registry."""
 
 from riskloom.plans import (  # noqa: F401
-    evaluation_queries, feature_queries, item_queries, profile_queries, service_queries, streaming_queries,
+    evaluation_queries, feature_queries, item_queries, profile_queries, service_queries, source_queries, streaming_queries,
     training_queries,
 )
 from riskloom.plans.registry import REGISTRY

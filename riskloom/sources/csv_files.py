@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import NULL_TOKENS, OPTIONAL_COLUMNS, REQUIRED_COLUMNS, RESULT_COLUMNS
 from riskloom.functions.text import is_blank
-from riskloom.sources.csv_records import csv_records, header
+from riskloom.sources.csv_records import csv_records, headers
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -41,8 +41,8 @@ def read_news_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """
     listed = spark.read.option("pathGlobFilter", "*.csv").text([path] if isinstance(path, str) else list(path)).inputFiles()
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in sorted(unquote(f) for f in listed):
-        names = header(spark, f)
+    files = sorted(unquote(f) for f in listed)
+    for f, names in zip(files, headers(spark, files)):
         if names:
             groups.setdefault(tuple(_named(names)), []).append(f)
     if not groups:
@@ -134,10 +134,10 @@ def read_by_header(spark: SparkSession, files: Sequence[str], schema) -> tuple[D
     without a header or without a required column gives no rows and an error that names it. Ids that the files leave out
     are given from the file, the row's place in it and its content, so equal rows are different items.
     """
-    headers: dict[tuple[str, ...], list[str]] = {}
+    groups: dict[tuple[str, ...], list[str]] = {}
     errors: dict[str, str] = {}
-    for f in files:
-        names = tuple(header(spark, f))
+    for f, found in zip(files, headers(spark, files)):
+        names = tuple(found)
         if not names:
             errors[f] = "the file is empty"
             continue
@@ -145,10 +145,10 @@ def read_by_header(spark: SparkSession, files: Sequence[str], schema) -> tuple[D
         if missing:
             errors[f] = "missing required columns: " + ", ".join(missing)
             continue
-        headers.setdefault(names, []).append(f)
+        groups.setdefault(names, []).append(f)
     absent: set[str] = set()
     parts = []
-    for names, group in headers.items():
+    for names, group in groups.items():
         absent |= {c for c in OPTIONAL_COLUMNS if c not in names}
         place = {n: F.col(f"_{i}") for i, n in reversed(list(enumerate(names)))}
         columns = [place[f.name].try_cast(f.dataType).alias(f.name) if f.name in place else F.lit(None).cast(f.dataType).alias(f.name)

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from riskloom.session import materialize
 
+T = TypeVar("T")
 _CLOSE = re.compile(r'[^"]*(?:""[^"]*)*"(?!")')
 HEAD_BYTES = 1 << 20  # a header is looked for in the first bytes of a file
 
@@ -86,8 +89,8 @@ def _starts(surveyed: DataFrame) -> DataFrame:
     return known.select("f", "b", "inside", ends.alias("open"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("first"))
 
 
-def _cut(edges: bool):
-    """Records that lie in one split, or the parts of those that cross its edges."""
+def _cut(edges: bool, alone: bool = False):
+    """Records that lie in one split, or the parts of those that cross its edges. A split may be a file of its own."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, inside, place, part, crossing = None, False, 0, [], False
         out: list[tuple] = []
@@ -108,7 +111,7 @@ def _cut(edges: bool):
         for batch in batches:
             for f, b, line, starts, first in zip(*(c.to_pylist() for c in batch.columns)):
                 if (f, b) != now:
-                    put(whole=False)   # what is open at a split's end
+                    put(whole=alone)   # what is open at a split's end
                     now, inside, place, crossing = (f, b), starts, first - 1, starts
                 line = _bare(line)
                 if not inside:
@@ -121,25 +124,56 @@ def _cut(edges: bool):
                     put(whole=not crossing)
                     crossing = False
             yield flush()
-        put(whole=False)
+        put(whole=alone)
         yield flush()
     return cut
 
 
+def _never_split(spark: SparkSession, files: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Files so small that Spark reads each in one split, and the others."""
+    conf = spark._jsparkSession.sessionState().conf()
+    limit = min(conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes())
+
+    def size(path: str) -> int:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).getLen()
+
+    small = [n <= limit for n in _each(size, files)]
+    return [f for f, s in zip(files, small) if s], [f for f, s in zip(files, small) if not s]
+
+
+def _each(work: Callable[[str], T], files: Sequence[str]) -> list[T]:
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(work, files))
+
+
 def csv_records(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     """(f, place, record): the text of every record, numbered from 0 in its file; the header is record 0.
 
     Empty lines between records are left out, line ends inside values become one line feed. A value that is never closed
     takes the rest of its file. The starts of the splits are broadcast: one row of about 100 bytes per split of a file.
-    A split that was not surveyed, because the cluster's size changed the splits in between, stops the job.
+    Files that are never split need none. A split that was not surveyed, because the cluster's size changed the splits in
+    between, stops the job.
     """
+    small, large = _never_split(spark, files)
+    schema = "f string, b long, place long, record string"
+    out = None
+    if small:
+        lines = _lines(spark, small).select("*", F.lit(False).alias("inside"), F.lit(0).cast("long").alias("first"))
+        out = lines.mapInArrow(_cut(edges=False, alone=True), schema).select("f", "place", "record")
+    if large:
+        cut = _records_over_splits(spark, large, schema)
+        out = cut if out is None else out.unionByName(cut)
+    return out
+
+
+def _records_over_splits(spark: SparkSession, files: Sequence[str], schema: str) -> DataFrame:
     starts = materialize(_starts(_lines(spark, files).mapInArrow(
         _survey, "f string, b long, end_out boolean, end_in boolean, n_out long, n_in long")), "starts")
     near = F.broadcast(starts.select(F.col("f").alias("_f"), F.col("b").alias("_b"), "inside", "first"))
     lines = _lines(spark, files)
     placed = lines.join(near, (F.col("f") == F.col("_f")) & (F.col("b") == F.col("_b")), "left").select(
         "f", "b", "value", F.when(F.col("first").isNull(), F.raise_error(F.lit("splits have changed"))).otherwise(F.col("inside")).alias("inside"), "first")
-    schema = "f string, b long, place long, record string"
     whole = placed.mapInArrow(_cut(edges=False), schema).select("f", "place", "record")
     if starts.where("open").isEmpty():
         return whole
@@ -149,6 +183,11 @@ def csv_records(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     return whole.unionByName(parts.select("f", "place", joined.alias("record")))
 
 
+def headers(spark: SparkSession, files: Sequence[str]) -> list[list[str]]:
+    """The column names of each file; none for an empty one."""
+    return _each(lambda f: header(spark, f), files)
+
+
 def header(spark: SparkSession, path: str) -> list[str]:
     """The column names of a file; none for an empty one. Only the first bytes are read, on the driver."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
