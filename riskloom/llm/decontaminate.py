@@ -11,6 +11,8 @@ from riskloom.session import materialize
 WINDOW = 6
 #: So many windows in one alignment make a leak, or half of the item's windows if it has fewer than twice as many.
 LEAST_WINDOWS = 8
+#: Documents are first searched for pieces of windows that begin at every so many words.
+PROBE_STEP = 3
 
 TYPED, PLAIN, RUNS = 0, 1, 2
 NUMBER, UNIT, NAME, CAPITAL = "\u0001", "\u0002", "\u0003", "\u0004"
@@ -102,12 +104,25 @@ def _windows(source: DataFrame, size: int) -> DataFrame:
         "key", "form", "place", F.xxhash64("form", "w.template").alias("h"), F.col("w.template").alias("template"), F.col("w.raw").alias("raw"))
 
 
+def _probe(size: int) -> tuple[int, int]:
+    """Length and step of probes. Every window of `size` words holds one whole probe, wherever it begins."""
+    step = min(PROBE_STEP, size)
+    return size - step + 1, step
+
+
 def _hashes(source: DataFrame, size: int) -> DataFrame:
-    """key, h of the different windows at every `size`-th word; the words behind the placeholders are not made."""
+    """key, h of the different probes of a text; the words behind the placeholders are not made."""
+    length, step = _probe(size)
     forms = [F.struct(F.lit(i).alias("form"), t.alias("template")) for i, t in enumerate(_templates(F.col("plain"), F.col("counted")))]
     return source.select("key", F.array(*forms).alias("forms")).select("key", F.explode_outer(F.expr(
-        f"array_distinct(flatten(transform(forms, f -> transform({_places('f.template', size, size)}, "
-        f"i -> xxhash64(f.form, slice(f.template, i, {size}))))))")).alias("h"))
+        f"array_distinct(flatten(transform(forms, f -> transform({_places('f.template', length, step)}, "
+        f"i -> xxhash64(f.form, slice(f.template, i, {length}))))))")).alias("h"))
+
+
+def _probes_of(windows: DataFrame, size: int) -> DataFrame:
+    """h of every probe that a document with one of these windows may hold."""
+    length, step = _probe(size)
+    return windows.select(F.explode(F.expr(f"transform(sequence(1, {step}), i -> xxhash64(form, slice(template, i, {length})))")).alias("h")).distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW,
@@ -118,9 +133,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     alike; windows that are mostly placeholders don't count there. Another is their lower-case words as they stand, so
     a copy is found whatever its numbers and names, and whatever its capitals. Both count words, so slots that are mixed
     up in an alignment rule it out in both. In the third, a run of capitalised words is one name, wherever it stands, so
-    names at the start of sentences and of other lengths are found; names in a text without capitals are not. A document's windows at every
-    `size`-th word meet the items' windows at every word in a hash join: any shared passage of 2 * `size` - 1 words
-    holds such a window. Documents that meet none go no further. Of the others all windows are joined, checked word by
+    names at the start of sentences and of other lengths are found; names in a text without capitals are not. A document's
+    pieces of `size` - 2 words at every third word meet all such pieces of the items' windows in a hash join: any shared
+    window holds such a piece whole, wherever it begins, so a single shared window makes a suspect. Documents that
+    meet none go no further: they share no window. Of the others all windows, at every word, are joined, checked word by
     word and counted by alignment (place in the document less place in the item). A leak has `least` windows in one
     alignment, or half the item's if that is fewer, and consistent slots: in the alignment every value of the item's
     placeholders always stands against the same value in the document, so a re-parameterised question is found and
@@ -140,7 +156,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     plain = _prepared(docs, key, text)
     seeds = materialize(item_windows.select("h").distinct(), "item-hashes")
-    hit = materialize(_hashes(plain, size).join(seeds, "h", "left_semi").select("key").distinct(), "suspects")
+    probes = materialize(_probes_of(item_windows, size), "item-probes")
+    hit = materialize(_hashes(plain, size).join(probes, "h", "left_semi").select("key").distinct(), "suspects")
 
     # the suspects' texts are written once; of them, first the places whose hash an item has, then the words at these places
     named = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))

@@ -258,3 +258,11 @@ def test_statistics_read_the_whole_text():
 def test_pool_adjacent_is_the_monotone_least_squares_fit():
     steps, levels = pool_adjacent(np.array([1.0, 2.0, 3.0, 4.0, 4.0]), np.array([0.0, 1.0, 0.0, 1.0, 0.0]))
     assert np.interp([1, 2, 3, 4], steps, levels).tolist() == [0.0, 0.5, 0.5, 0.5]
+
+
+def test_single_shared_windows_make_suspects(spark):
+    """An item of few words needs one or two shared windows; wherever these begin, they are seen."""
+    words = "where does the quiet river meet stones".split()
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    rows = [(k, " ".join([*(f"w{chr(97 + i)}" for i in range(k)), *words[:6], "other"])) for k in range(13)]
+    assert {r.doc_id for r in leaks(docs_of(spark, rows), bench).collect()} == set(range(13))
