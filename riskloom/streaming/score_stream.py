@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
@@ -26,6 +28,8 @@ from riskloom.sources import store
 from riskloom.sources.csv_files import _unescaped, batch_of_file, null_tokens, read_by_header, reject_reason
 from riskloom.sources.tables import load_model
 
+ALONE = 4  # batches of a failed step that are tried at the same time
+
 STATUS = StructType([
     StructField("batch_id", StringType()), StructField("status", StringType()),
     StructField("changed_at", TimestampType()), StructField("error_message", StringType()),
@@ -59,14 +63,23 @@ def _file_id(path) -> Column:
 
 
 def _tables(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> dict[str, DataFrame]:
-    """Items, predictions and rejected rows of checked rows; scored once for both tables."""
+    """Items, predictions and rejected rows of checked rows; scored once for both tables.
+
+    While rows are scored, those to be rejected are counted, so the files are read again only if there are some.
+    """
     texts = [c for c, t in rows.dtypes if t == "string" and c not in ("batch_id", "file_id")]
     marked = null_tokens(rows, texts).withColumn("reject_reason", reject_reason())
-    valid = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    seen = Observation()
+    counted = marked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("reject_reason").alias("rejected"))
+    valid = counted.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejected = marked.filter(F.col("reject_reason").isNotNull())
     scored = materialize(scorer(valid), "scored")
     items = normalise_items(scored, ("id", "batch_id", "user_id", "file_id"))
-    return {"news_items": items, "prediction_results": predictions(scored, ["file_id"]), "rejected_rows": rejected}
+    tables = {"news_items": items, "prediction_results": predictions(scored, ["file_id"])}
+    found = seen.get
+    # only if the counted rows are those scored: a scorer may drop rows, or read some of them by itself before
+    none = found.get("rows") and not found["rejected"] and found["rows"] == scored.count()
+    return tables if none else {**tables, "rejected_rows": rejected}
 
 
 def score_stream(
@@ -82,7 +95,7 @@ def score_stream(
     over without a restart. ``uploaders`` gives (batch_id, user_id) for rows that name no user.
 
     An unusable file marks its batch `failed` with the reason, the batch's other files are scored. A step that cannot be
-    scored does not stop the stream: its batches are tried one at a time, and only those that fail themselves are marked
+    scored does not stop the stream: its batches are tried by themselves, and only those that fail themselves are marked
     `failed` with the message; their files stay where they are for a later try.
     """
 
@@ -92,7 +105,7 @@ def score_stream(
         model = load_model(rows.sparkSession, model_path) if model_path else None
         return score_items(rows, aliases, weights, threshold, model)
 
-    def score(session: SparkSession, files: dict[str, list[str]], epoch: int) -> None:
+    def score(session: SparkSession, files: dict[str, list[str]], epoch: int) -> list[tuple]:
         rows, _, errors = read_by_header(session, [f for group in files.values() for f in group], LANDING_ITEM)
         counts = {}
         if rows is not None:
@@ -107,7 +120,15 @@ def score_stream(
             states.append(_record(session, batch, {ids[f]: {
                 "path": f, "epoch": epoch, "at": _now(), "rows": counts.get((batch, ids[f]), {}), "error": errors.get(f)}
                 for f in group}))
-        _append_status(session, out, states)
+        return states
+
+    def alone(session: SparkSession, batch: str, group: list[str], epoch: int) -> list[tuple]:
+        try:
+            return score(session, {batch: group}, epoch)
+        except Exception as exc:  # a poison batch is recorded, the stream goes on; rows stored earlier stay
+            old = store.manifest(session, out, batch)[1].get("files", {})
+            return [_record(session, batch, {
+                i: {**old.get(i, {}), "path": f, "epoch": epoch, "at": _now(), "error": str(exc)} for f, i in zip(group, _ids_of(group))})]
 
     def _record(session: SparkSession, batch: str, entries: dict[str, dict]) -> tuple[str, str, str | None]:
         everything = store.record_files(session, out, batch, entries)
@@ -124,15 +145,13 @@ def score_stream(
             return
         _append_status(session, out, [(b, "processing", None) for b in files])
         try:
-            score(session, files, epoch)
+            states = score(session, files, epoch)
         except Exception:
-            for batch, group in files.items():
-                try:
-                    score(session, {batch: group}, epoch)
-                except Exception as exc:  # a poison batch is recorded, the stream goes on; rows stored earlier stay
-                    old = store.manifest(session, out, batch)[1].get("files", {})
-                    _append_status(session, out, [_record(session, batch, {
-                        i: {**old.get(i, {}), "path": f, "epoch": epoch, "at": _now(), "error": str(exc)} for f, i in zip(group, _ids_of(group))})])
+            # every batch writes folders and a manifest of its own; their states are one file again, as two jobs must not append at once
+            with ThreadPoolExecutor(ALONE) as pool:
+                tries = [pool.submit(inheritable_thread_target(session)(alone), session, batch, group, epoch) for batch, group in files.items()]
+                states = [state for one in tries for state in one.result()]
+        _append_status(session, out, states)
 
     return (
         landing_stream(spark, landing, files_per_step).writeStream.foreachBatch(step)

@@ -1,4 +1,5 @@
 import os
+import threading
 
 import numpy as np
 import pytest
@@ -84,6 +85,41 @@ def test_poison_batch_is_marked_and_the_rest_goes_on(spark, tmp_path):
     assert states["bad"][0] == "failed" and "scorer broke" in states["bad"][1]
 
 
+def test_batches_of_a_failed_step_are_tried_side_by_side(spark, tmp_path):
+    from riskloom.operators.scoring import score_items
+    SS.land_items(items(spark, [(1, 1, "a", "t", "x"), (2, 1, "b", "t", "y")]), str(tmp_path / "in"))
+    together, calls = threading.Barrier(2), []
+
+    def scorer(df):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("scorer broke")
+        together.wait(timeout=60)  # before, the second batch waited for the first one, which breaks the barrier
+        return score_items(df)
+
+    run(spark, tmp_path, scorer=scorer)
+    states = {r.batch_id: r.status for r in SS.batch_states(spark, str(tmp_path / "out")).collect()}
+    assert states == {"a": "completed", "b": "completed"} and len(calls) == 3
+    assert SS.stored_rows(spark, str(tmp_path / "out"), "prediction_results").count() == 2
+
+
+def test_files_are_read_again_only_for_rejected_rows(spark, tmp_path):
+    out = tmp_path / "out"
+    SS.land_items(items(spark, [(1, 1, "a", "t", "x")]), str(tmp_path / "in"))
+    run(spark, tmp_path)
+    assert not list(out.glob("data/*/t=rejected_rows"))  # before, they were looked for and written each time
+    SS.land_items(items(spark, [(2, 1, "b", " ", "x"), (3, 1, "b", "t", "y")]), str(tmp_path / "in"))
+
+    def looks_first(df):
+        from riskloom.operators.scoring import score_items
+        df.where("id = 3").limit(1).collect()
+        return score_items(df)
+
+    run(spark, tmp_path, scorer=looks_first)
+    assert [r.id for r in SS.stored_rows(spark, str(out), "rejected_rows").collect()] == [2]
+    assert sorted(r.news_item_id for r in SS.stored_rows(spark, str(out), "prediction_results").collect()) == [1, 3]
+
+
 def test_uploads_are_read_by_their_header(spark, tmp_path):
     land = tmp_path / "in"
     files = {
