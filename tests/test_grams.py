@@ -65,6 +65,30 @@ def test_vocabulary_counts_and_weights(spark):
         assert all(copies[r.term].df == 3 * r.df and copies[r.term].docs == r.df and copies[r.term].total == r.total for r in old.collect())
 
 
+def test_a_word_is_cut_into_characters_once_per_run(monkeypatch):
+    rng = random.Random(8)
+    spaces = [chr(c) for c in (9, 10, 11, 13, 28, 31, 32, 0x85, 0xA0, 0x1680, 0x2000, 0x200A, 0x2028, 0x202F, 0x205F, 0x3000)]
+    words = ["ab", "abab", "ёж", "日本語", "、x", "\u200b", "\u180e", "Âà", "🙂🙂"]
+    texts = ["", " ", *["".join(rng.choice(words) + rng.choice(spaces) * rng.randint(1, 2) for _ in range(rng.randint(0, 40))) for _ in range(50)]]
+    assert all(s.isspace() for s in spaces)
+    cut, seen = G._char_grams, []
+    monkeypatch.setattr(G, "_char_grams", lambda column, *limits: seen.append(len(column)) or cut(column, *limits))
+    brute, copies = [_brute(t, 3, 5) for t in texts], np.array([rng.randint(1, 4) for _ in texts])
+    names, *sums = G.totals_of(pa.array(texts), "char", 3, 5, copies)
+    want = {g: (sum(int(n) for b, n in zip(brute, copies) if g in b), sum(g in b for b in brute), sum(b[g] for b in brute)) for g in set().union(*brute)}
+    assert dict(zip(names.to_pylist(), zip(*map(np.ndarray.tolist, sums)))) == want
+    assert _counted(pa.array(texts), G.counts_of(pa.array(texts), "char", 3, 5)) == brute
+    # before, every place of every text was cut
+    assert seen == [len(words)] * 2
+
+
+def test_words_are_pieces_of_two_letters_and_more(spark):
+    rows = [(1, "a Big-bank, x's  ёЖ_1\u00a0日本 🙂🙂 é"), (2, None), (3, "b"), (4, "\u0301ab 𝒳𝒴 𝒳")]
+    df = spark.createDataFrame(rows, "id long, x string")
+    want = {(r.id, t) for r in df.select("id", X.terms_of(X.WORD, "x").alias("t")).collect() for t in r.t}
+    assert {(r.id, r.term) for r in X.doc_terms(df, X.WORD, "id", "x").collect()} == want and (1, "big bank") in want
+
+
 def test_joined_scoring_does_not_shuffle_terms_for_small_models(spark):
     df = spark.createDataFrame([(i, f"big bank {i % 3}") for i in range(30)], "id long, x string")
     weights = X.vocabulary_of(df, X.WORD, "x").select(F.lit("word").alias("family"), "term", "idf", F.lit(0.5).alias("coef"))
