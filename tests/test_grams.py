@@ -89,6 +89,17 @@ def test_words_are_pieces_of_two_letters_and_more(spark):
     assert {(r.id, r.term) for r in X.doc_terms(df, X.WORD, "id", "x").collect()} == want and (1, "big bank") in want
 
 
+def test_a_term_meets_its_weight_once_per_run_of_rows(spark):
+    rows = [(i, f"Big bank {i % 3} big") for i in range(40)] + [(7, "bank loss"), (None, "big loss"), (50, None)]
+    df = spark.createDataFrame(rows, "id long, x string").coalesce(1)
+    for family in (X.WORD, X.CHAR):
+        held = X.postings(df, family, "id", "x")
+        # before, a row per text and term met the weights
+        assert held.count() == held.select("term").distinct().count()
+        flat = held.select(F.inline("docs"), "term").select("id", "term", "tf")
+        assert sorted(map(repr, flat.collect())) == sorted(map(repr, X.doc_terms(df, family, "id", "x").collect()))
+
+
 def test_joined_scoring_does_not_shuffle_terms_for_small_models(spark):
     df = spark.createDataFrame([(i, f"big bank {i % 3}") for i in range(30)], "id long, x string")
     weights = X.vocabulary_of(df, X.WORD, "x").select(F.lit("word").alias("family"), "term", "idf", F.lit(0.5).alias("coef"))
